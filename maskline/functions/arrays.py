@@ -1,0 +1,57 @@
+"""Small array helpers on top of Spark's higher-order functions."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# A fold that appends to an array copies it on every step. Folding blocks of
+# 2**BLOCK_BITS items and then the block totals keeps long arrays affordable.
+BLOCK_BITS = 6
+BLOCK = 1 << BLOCK_BITS
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and hand it to `body`."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def empty_like(items: Column) -> Column:
+    return F.filter(items, lambda _: F.lit(False))
+
+
+def last(items: Column) -> Column:
+    return F.get(items, F.size(items) - 1)
+
+
+def _fold(items: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    return F.aggregate(
+        items,
+        F.array().cast("array<int>"),
+        lambda acc, x: F.array_append(acc, F.when(F.size(acc) == 0, x).otherwise(merge(last(acc), x))),
+    )
+
+
+def running(items: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive running `merge` (a sum, a maximum) of an int array."""
+
+    def long(xs: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.shiftright(F.size(xs) - 1, BLOCK_BITS)),
+            lambda b: _fold(F.slice(xs, F.shiftleft(b, BLOCK_BITS) + 1, F.lit(BLOCK)), merge),
+        )
+        return let(
+            F.struct(blocks.alias("inner"), _fold(F.transform(blocks, last), merge).alias("totals")),
+            lambda s: F.flatten(
+                F.transform(
+                    s["inner"],
+                    lambda block, b: F.when(b == 0, block).otherwise(
+                        F.transform(block, lambda x: merge(F.get(s["totals"], b - 1), x))
+                    ),
+                )
+            ),
+        )
+
+    return let(items, lambda xs: F.when(F.size(xs) <= BLOCK, _fold(xs, merge)).otherwise(long(xs)))
