@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from maskline.functions import checksums
 
@@ -81,12 +81,12 @@ HINTS = {
     "credit_card": r"\d{4}[ -]?\d{4}[ -]?\d{4}",
 }
 
-CHECKSUMS: dict[str, Callable[[Column], Column]] = {
-    "pl_pesel": checksums.pesel,
-    "pl_nip": checksums.nip,
-    "pl_regon": checksums.regon,
-    "pl_iban": checksums.iban,
-    "credit_card": checksums.luhn,
+CHECKSUMS = {
+    "pl_pesel": checksums.PESEL,
+    "pl_nip": checksums.NIP,
+    "pl_regon": checksums.REGON,
+    "pl_iban": checksums.IBAN,
+    "credit_card": checksums.LUHN,
 }
 
 TYPE_OF_DETECTOR = {name: "EMAIL" if name == "email" else name.upper() for name in PATTERNS}
@@ -99,7 +99,11 @@ PII_TYPE_SHAPE = re.compile(r"[A-Z_]+")
 
 @dataclass(frozen=True)
 class Detector:
-    """One catalog row. `valid` is a checksum, or None when the shape decides."""
+    """One catalog row.
+
+    `valid` is a checksum as a SQL condition with `{}` for the value, or None
+    when the shape alone decides.
+    """
 
     name: str
     pii_type: str
@@ -108,7 +112,7 @@ class Detector:
     regex: str
     score: float
     context: tuple[str, ...] = ()
-    valid: Callable[[Column], Column] | None = None
+    valid: str | None = None
     hint: str | None = None
     opt_in: bool = False
 
@@ -155,7 +159,7 @@ def custom_detector(
     entity: str | None = None,
     lang: str = "pl",
     context: Sequence[str] = (),
-    valid: Callable[[Column], Column] | None = None,
+    valid: str | None = None,
     hint: str | None = None,
 ) -> Detector:
     """A caller's own detector; `regex` uses Java syntax and must not match ''."""

@@ -1,13 +1,10 @@
-"""Check digits of public number formats, as `Column -> Column` tests.
+"""Check digits of public number formats, as SQL conditions.
 
-Each test expects a value that already has the shape of its detector.
+`{}` stands for the value, which already has the shape of its detector.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Published weights of the Polish numbers.
 PESEL_WEIGHTS = (1, 3, 7, 9, 1, 3, 7, 9, 1, 3)
 NIP_WEIGHTS = (6, 5, 7, 2, 3, 4, 5, 6, 7)
@@ -16,45 +13,25 @@ REGON14_WEIGHTS = (2, 4, 8, 5, 0, 9, 7, 3, 6, 1, 2, 4, 8)
 # "PL" spelled in digits, P = 25 and L = 21.
 IBAN_COUNTRY_DIGITS = "2521"
 
-
-def _digit(value: Column, position: int) -> Column:
-    return F.substring(value, position, 1).try_cast("int")
-
-
-def _weighted(value: Column, weights: tuple[int, ...]) -> Column:
-    total = F.lit(0)
-    for position, weight in enumerate(weights, start=1):
-        if weight:
-            total = total + _digit(value, position) * weight
-    return total
-
-
-def _bare(value: Column) -> Column:
-    return F.regexp_replace(value, "[ -]", "")
-
-
-def pesel(value: Column) -> Column:
-    return (10 - _weighted(value, PESEL_WEIGHTS) % 10) % 10 == _digit(value, 11)
-
-
-def nip(value: Column) -> Column:
-    digits = _bare(value)
-    return _weighted(digits, NIP_WEIGHTS) % 11 == _digit(digits, 10)
+BARE = "regexp_replace({}, '[ -]', '')"
 
 
-def regon(value: Column) -> Column:
-    short = _weighted(value, REGON9_WEIGHTS) % 11 % 10 == _digit(value, 9)
-    long = _weighted(value, REGON14_WEIGHTS) % 11 % 10 == _digit(value, 14)
-    return short & ((F.length(value) == 9) | long)
+def _digit(value: str, position: int) -> str:
+    return f"try_cast(substring({value}, {position}, 1) as int)"
 
 
-def iban(value: Column) -> Column:
-    compact = _bare(value)
-    number = F.concat(
-        F.substring(compact, 5, 24), F.lit(IBAN_COUNTRY_DIGITS), F.substring(compact, 3, 2)
-    )
-    return number.try_cast("decimal(38,0)") % 97 == 1
+def _weighted(value: str, weights: tuple[int, ...]) -> str:
+    return "(" + " + ".join(f"{w} * {_digit(value, i)}" for i, w in enumerate(weights, 1) if w) + ")"
 
 
-def luhn(value: Column) -> Column:
-    return F.call_function("luhn_check", _bare(value))
+PESEL = f"(10 - {_weighted('{}', PESEL_WEIGHTS)} % 10) % 10 = {_digit('{}', 11)}"
+NIP = f"{_weighted(BARE, NIP_WEIGHTS)} % 11 = {_digit(BARE, 10)}"
+REGON = (
+    f"{_weighted('{}', REGON9_WEIGHTS)} % 11 % 10 = {_digit('{}', 9)} and (length({{}}) = 9 or "
+    f"{_weighted('{}', REGON14_WEIGHTS)} % 11 % 10 = {_digit('{}', 14)})"
+)
+IBAN = (
+    f"try_cast(concat(substring({BARE}, 5), '{IBAN_COUNTRY_DIGITS}', substring({BARE}, 3, 2)) "
+    "as decimal(38,0)) % 97 = 1"
+)
+LUHN = f"luhn_check({BARE})"

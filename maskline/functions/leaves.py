@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskline.functions import sql as Q
+
 LEAVES_TYPE = "array<struct<path:string,text:string>>"
+NO_LEAVES = f"cast(array() as {LEAVES_TYPE})"
 
 
 def has_text(kind: T.DataType) -> bool:
@@ -23,60 +24,59 @@ def has_text(kind: T.DataType) -> bool:
     return False
 
 
-def _step(path: Column, index: Column | int) -> Column:
-    part = F.lit(str(index)) if isinstance(index, int) else index.cast("string")
-    return F.concat(path, F.lit("."), part)
+def _step(path: str, index: str | int) -> str:
+    return f"concat({path}, '.', string({index}))"
 
 
-def leaves(value: Column, kind: T.DataType, path: Column) -> Column:
+def leaves(value: str, kind: T.DataType, path: str) -> str:
     """array<struct<path,text>> of all non-empty strings; map keys are not leaves."""
-    none = F.array().cast(LEAVES_TYPE)
+    if not has_text(kind):
+        return NO_LEAVES
     if isinstance(kind, T.StringType):
-        return F.when(
-            value != "", F.array(F.struct(path.alias("path"), value.alias("text"))).cast(LEAVES_TYPE)
-        ).otherwise(none)
+        return f"if({value} != '', array({Q.struct(path=path, text=value)}), {NO_LEAVES})"
     if isinstance(kind, T.StructType):
         parts = [
-            leaves(value[f.name], f.dataType, _step(path, i))
+            leaves(f"{value}.{Q.name(f.name)}", f.dataType, _step(path, i))
             for i, f in enumerate(kind.fields)
             if has_text(f.dataType)
         ]
-        return F.concat(none, *parts)
-    if isinstance(kind, T.ArrayType) and has_text(kind):
-        inner = F.transform(value, lambda x, i: leaves(x, kind.elementType, _step(path, i)))
-        return F.coalesce(F.flatten(inner), none)
-    if isinstance(kind, T.MapType) and has_text(kind):
-        inner = F.transform(
-            F.map_entries(value), lambda e, i: leaves(e["value"], kind.valueType, _step(path, i))
+        return f"concat({', '.join([NO_LEAVES, *parts])})"
+    if isinstance(kind, T.ArrayType):
+        inner = Q.transform_indexed(
+            value, lambda x, i: leaves(x, kind.elementType, _step(path, i))
+        )
+    else:
+        inner = Q.transform_indexed(
+            f"map_entries({value})",
+            lambda e, i: leaves(f"{e}.value", kind.valueType, _step(path, i)),
         )
-        return F.coalesce(F.flatten(inner), none)
-    return none
+    return f"coalesce(flatten({inner}), {NO_LEAVES})"
 
 
 def rebuilt(
-    value: Column, kind: T.DataType, path: Column, new_text: Callable[[Column, Column], Column]
-) -> Column:
+    value: str, kind: T.DataType, path: str, new_text: Callable[[str, str], str]
+) -> str:
     """The same value with every string leaf replaced by `new_text(text, path)`."""
     if not has_text(kind):
         return value
     if isinstance(kind, T.StringType):
         return new_text(value, path)
     if isinstance(kind, T.StructType):
-        fields = [
-            rebuilt(value[f.name], f.dataType, _step(path, i), new_text).alias(f.name)
+        fields = ", ".join(
+            f"{Q.text(f.name)}, "
+            + rebuilt(f"{value}.{Q.name(f.name)}", f.dataType, _step(path, i), new_text)
             for i, f in enumerate(kind.fields)
-        ]
-        return F.when(value.isNotNull(), F.struct(*fields))
+        )
+        return f"if({value} is null, null, named_struct({fields}))"
     if isinstance(kind, T.ArrayType):
-        return F.transform(
+        return Q.transform_indexed(
             value, lambda x, i: rebuilt(x, kind.elementType, _step(path, i), new_text)
         )
-    return F.map_from_entries(
-        F.transform(
-            F.map_entries(value),
-            lambda e, i: F.struct(
-                e["key"].alias("key"),
-                rebuilt(e["value"], kind.valueType, _step(path, i), new_text).alias("value"),
-            ),
-        )
+    entries = Q.transform_indexed(
+        f"map_entries({value})",
+        lambda e, i: Q.struct(
+            key=f"{e}.key",
+            value=rebuilt(f"{e}.value", kind.valueType, _step(path, i), new_text),
+        ),
     )
+    return f"map_from_entries({entries})"

@@ -1,18 +1,15 @@
-"""Spans of a text as array columns: find, check, score, untangle, rewrite.
+"""Spans of a text as array expressions: find, check, score, untangle, rewrite.
 
-Offsets count code points and are half open. Every function is a plain
-`Column -> Column` expression and can be used inside a lambda as well.
+Offsets count code points and are half open. Every function takes and returns
+SQL text and can be used inside a lambda as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from maskline.catalog import Detector
-from maskline.functions.arrays import empty_like, last, let, running
+from maskline.functions import sql as Q
 
 # `substring` walks a string from its start. Texts are therefore cut into
 # chunks first, so that many cuts in one long text stay linear.
@@ -28,319 +25,304 @@ FINDING_TYPE = (
     "array<struct<start:int,end:int,rank:int,detector:string,entity:string,pii_type:string,"
     "value:string,pattern_score:double,score:double>>"
 )
+CANDIDATE_TYPE = "array<struct<start:int,end:int,rank:int,value:string,valid:boolean>>"
+PLACE_TYPE = "array<struct<start:int,end:int,value:string>>"
 
 
-def no_findings() -> Column:
-    return F.array().cast(FINDING_TYPE)
+def empty(kind: str) -> str:
+    return f"cast(array() as {kind})"
 
 
-def chunks_of(text: Column) -> Column:
-    return F.when(F.length(text) <= CHUNK, F.array(text)).otherwise(
-        F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
-    )
+def chunks_of(text: str) -> str:
+    pattern = Q.text(rf"(?s).{{1,{CHUNK}}}")
+    return f"if(length({text}) <= {CHUNK}, array({text}), regexp_extract_all({text}, {pattern}, 0))"
 
 
-def cut(chunks: Column, start: Column, end: Column) -> Column:
+def cut(chunks: str, start: str, end: str) -> str:
     """`text[start:end]` of a chunked text."""
-    first = F.shiftright(start, CHUNK_BITS)
-    stop = F.shiftright(end, CHUNK_BITS)
-    offset = start - F.shiftleft(first, CHUNK_BITS)
-    return F.substring(
-        F.array_join(F.slice(chunks, first + 1, stop - first + 1), ""), offset + 1, end - start
-    )
+    first = f"shiftright({start}, {CHUNK_BITS})"
+    count = f"shiftright({end}, {CHUNK_BITS}) - {first} + 1"
+    offset = f"{start} - shiftleft({first}, {CHUNK_BITS})"
+    covered = f"array_join(slice({chunks}, {first} + 1, {count}), '')"
+    return f"substring({covered}, {offset} + 1, {end} - {start})"
 
 
-def _placed(matches: Column, gaps: Column) -> Column:
+def _placed(matches: str, gaps: str) -> str:
     """Offsets of matches from the text between them."""
-    steps = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda gap, m: F.length(gap) + F.length(m)
+    steps = Q.zip_with(
+        f"slice({gaps}, 1, size({matches}))", matches, lambda gap, m: f"length({gap}) + length({m})"
     )
-    return F.zip_with(
+    return Q.zip_with(
         matches,
-        running(steps, lambda a, b: a + b),
-        lambda m, end: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("value")),
+        Q.running(steps, lambda a, b: f"{a} + {b}"),
+        lambda m, end: Q.struct(start=f"{end} - length({m})", end=end, value=m),
     )
 
 
-def occurrences(text: Column, regex: Column) -> Column:
+def occurrences(text: str, regex: str) -> str:
     """All matches of `regex`, left to right: array<struct<start,end,value>>."""
-    return let(
-        F.regexp_extract_all(text, regex, F.lit(0)),
-        lambda m: F.when(F.size(m) == 0, _placed(m, m)).otherwise(_placed(m, F.split(text, regex, -1))),
+    return Q.let(
+        f"regexp_extract_all({text}, {regex}, 0)",
+        lambda m: f"if(size({m}) = 0, {empty(PLACE_TYPE)}, {_placed(m, f'split({text}, {regex}, -1)')})",
     )
 
 
-def tokens_in(text: Column) -> Column:
-    pattern = F.lit(TOKEN_PATTERN)
-    return F.when(F.contains(text, F.lit("[")), occurrences(text, pattern)).otherwise(
-        F.array().cast("array<struct<start:int,end:int,value:string>>")
-    )
+def tokens_in(text: str) -> str:
+    pattern = Q.text(TOKEN_PATTERN)
+    return f"if(contains({text}, '['), {occurrences(text, pattern)}, {empty(PLACE_TYPE)})"
+
 
+def mentions_token(text: str) -> str:
+    return f"(contains({text}, '[') and {text} rlike {Q.text(TOKEN_PATTERN)})"
 
-def hinted(text: Column, rows: Sequence[Detector]) -> Column:
+
+def hinted(text: str, rows: Sequence[Detector]) -> str:
     """True wherever one of the detectors could match; cheap, never null."""
-    test = F.lit(False)
-    for hint in dict.fromkeys(d.hint for d in rows):
-        test = test | _hint(text, hint)
-    return F.coalesce(test, F.lit(False))
+    tests = [_hint(text, hint) for hint in dict.fromkeys(d.hint for d in rows)] or ["false"]
+    return f"coalesce({' or '.join(tests)}, false)"
 
 
-def _hint(text: Column, hint: str | None) -> Column:
+def _hint(text: str, hint: str | None) -> str:
     if hint is None:
-        return F.lit(True)
+        return "true"
     if hint.startswith("="):
-        return F.contains(text, F.lit(hint[1:]))
-    return F.rlike(text, F.lit(hint))
-
-
-def _by_rank(rank: Column, values: Sequence[Column]) -> Column:
-    return F.get(F.array(*values), rank)
+        return f"contains({text}, {Q.text(hint[1:])})"
+    return f"{text} rlike {Q.text(hint)}"
 
 
-def _merged(rows: Sequence[Detector]) -> list[tuple[Detector, list[str]]]:
+def merged(rows: Sequence[Detector]) -> list[tuple[Detector, list[str]]]:
     """The same detector listed for several languages runs once."""
-    merged: dict[tuple, tuple[Detector, list[str]]] = {}
+    found: dict[tuple, tuple[Detector, list[str]]] = {}
     for d in rows:
         key = (d.name, d.regex, d.pii_type, d.entity, d.score, d.context, d.valid)
-        merged.setdefault(key, (d, []))[1].append(d.lang)
-    return list(merged.values())
+        found.setdefault(key, (d, []))[1].append(d.lang)
+    return list(found.values())
 
 
-def candidates(text: Column, lang: Column, rows: Sequence[Detector]) -> Column:
-    """Shape matches before any checksum, with `valid` telling its outcome."""
-    ranked = _merged(rows)
+def candidates(text: str, lang: str, rows: Sequence[Detector]) -> str:
+    """Shape matches with the outcome of their checksum in `valid`."""
+    ranked = merged(rows)
     if not ranked:
-        return F.filter(
-            F.array(F.struct(*[F.lit(0).alias(n) for n in ("start", "end", "rank")],
-                             F.lit("").alias("value"), F.lit(True).alias("valid"))),
-            lambda _: F.lit(False),
+        return empty(CANDIDATE_TYPE)
+
+    def hit(rank: int, d: Detector, langs: list[str]) -> str:
+        spoken = f"{lang} in ({', '.join(Q.text(x) for x in langs)})"
+        regex = Q.text(d.regex)
+        return Q.struct(
+            rank=str(rank),
+            regex=regex,
+            matches=f"if({spoken} and {_hint(text, d.hint)}, regexp_extract_all({text}, {regex}, 0), "
+            "cast(array() as array<string>))",
         )
-    nothing = F.array().cast("array<string>")
-    hits = F.array(
-        *[
-            F.struct(
-                F.lit(rank).alias("rank"),
-                F.lit(d.regex).alias("regex"),
-                F.when(
-                    lang.isin(langs) & _hint(text, d.hint),
-                    F.regexp_extract_all(text, F.lit(d.regex), F.lit(0)),
-                )
-                .otherwise(nothing)
-                .alias("matches"),
-            )
-            for rank, (d, langs) in enumerate(ranked)
-        ]
+
+    hits = Q.array(hit(rank, d, langs) for rank, (d, langs) in enumerate(ranked))
+    found = Q.keep(hits, lambda h: f"size({h}.matches) > 0")
+    checked = "".join(
+        f" when {rank} then coalesce({d.valid.replace('{}', '%s.value')}, false)"
+        for rank, (d, _) in enumerate(ranked)
+        if d.valid is not None
     )
-    found = F.filter(hits, lambda h: F.size(h["matches"]) > 0)
-
-    def accepted(p: Column, rank: Column) -> Column:
-        checked = [(i, d.valid) for i, (d, _) in enumerate(ranked) if d.valid is not None]
-        if not checked:
-            return F.lit(True)
-        test = None
-        for i, valid in checked:
-            outcome = F.coalesce(valid(p["value"]), F.lit(False))
-            test = F.when(rank == i, outcome) if test is None else test.when(rank == i, outcome)
-        return test.otherwise(True)
-
-    return F.flatten(
-        F.transform(
-            found,
-            lambda h: F.transform(
-                _placed(h["matches"], F.split(text, h["regex"], -1)),
-                lambda p: F.struct(
-                    p["start"].alias("start"),
-                    p["end"].alias("end"),
-                    h["rank"].alias("rank"),
-                    p["value"].alias("value"),
-                    accepted(p, h["rank"]).alias("valid"),
-                ),
+
+    def placed(h: str) -> str:
+        return Q.transform(
+            _placed(f"{h}.matches", f"split({text}, {h}.regex, -1)"),
+            lambda p: Q.struct(
+                start=f"{p}.start",
+                end=f"{p}.end",
+                rank=f"{h}.rank",
+                value=f"{p}.value",
+                valid=f"case {h}.rank{checked.replace('%s', p)} else true end" if checked else "true",
             ),
         )
-    )
 
+    return f"flatten({Q.transform(found, placed)})"
 
-def words_before(chunks: Column, start: Column, window: int) -> Column:
+
+def words_before(chunks: str, start: str, window: int) -> str:
     """The last `window` white-space separated words before an offset, in lower case.
 
     A nearby stretch is enough when it holds more words than asked for; only
     otherwise is the whole preceding text read.
     """
 
-    def words(left: Column) -> Column:
-        spaced = F.regexp_replace(F.lower(cut(chunks, left, start)), r"\s+", " ")
-        return F.split(F.trim(spaced), " ")
-
-    left = F.greatest(start - NEARBY, F.lit(0))
-    return let(
-        let(
-            words(left),
-            lambda near: F.when((left == 0) | (F.size(near) > window), near).otherwise(words(F.lit(0))),
-        ),
-        lambda ws: F.slice(ws, F.greatest(F.size(ws) - window + 1, F.lit(1)), F.lit(window)),
+    def words(left: str) -> str:
+        spaced = f"regexp_replace(lower({cut(chunks, left, start)}), {Q.text(chr(92) + 's+')}, ' ')"
+        return f"split(trim({spaced}), ' ')"
+
+    left = f"greatest({start} - {NEARBY}, 0)"
+    enough = Q.let(
+        words(left),
+        lambda near: f"if({start} <= {NEARBY} or size({near}) > {window}, {near}, {words('0')})",
     )
+    return Q.let(enough, lambda ws: f"slice({ws}, greatest(size({ws}) - {window - 1}, 1), {window})")
 
 
 def findings(
-    text: Column, lang: Column, rows: Sequence[Detector], *, boost: float = 0.35, window: int = 5
-) -> Column:
+    text: str, lang: str, rows: Sequence[Detector], *, boost: float = 0.35, window: int = 5
+) -> str:
     """All accepted findings of a text, unordered and possibly overlapping."""
-    ranked = [d for d, _ in _merged(rows)]
+    ranked = [d for d, _ in merged(rows)]
     if not ranked:
-        return no_findings()
-    accepted = F.filter(candidates(text, lang, rows), lambda c: c["valid"])
-    contexts = [F.array(*[F.lit(w.lower()) for w in d.context]).cast("array<string>") for d in ranked]
+        return empty(FINDING_TYPE)
+    accepted = Q.keep(candidates(text, lang, rows), lambda c: f"{c}.valid")
 
-    def scored(chunks: Column | None, f: Column) -> Column:
-        base = _by_rank(f["rank"], [F.lit(d.score) for d in ranked])
+    def per_rank(rank: str, values: list[str]) -> str:
+        return f"get({Q.array(values)}, {rank})"
+
+    contexts = [
+        f"cast({Q.array(Q.text(w.lower()) for w in d.context)} as array<string>)" for d in ranked
+    ]
+
+    def scored(chunks: str | None, f: str) -> str:
+        base = per_rank(f"{f}.rank", [f"double({d.score!r})" for d in ranked])
         score = base
         if chunks is not None:
-            near = words_before(chunks, f["start"], window)
-            supported = let(
-                _by_rank(f["rank"], contexts),
-                lambda context: F.exists(near, lambda w: F.exists(context, lambda c: F.contains(w, c))),
+            supported = Q.let(
+                per_rank(f"{f}.rank", contexts),
+                lambda context: Q.exists(
+                    words_before(chunks, f"{f}.start", window),
+                    lambda w: Q.exists(context, lambda c: f"contains({w}, {c})"),
+                ),
             )
-            score = F.when(supported, F.least(F.lit(1.0), base + F.lit(boost))).otherwise(base)
-        return F.struct(
-            f["start"].alias("start"),
-            f["end"].alias("end"),
-            f["rank"].alias("rank"),
-            _by_rank(f["rank"], [F.lit(d.name) for d in ranked]).alias("detector"),
-            _by_rank(f["rank"], [F.lit(d.entity) for d in ranked]).alias("entity"),
-            _by_rank(f["rank"], [F.lit(d.pii_type) for d in ranked]).alias("pii_type"),
-            f["value"].alias("value"),
-            base.alias("pattern_score"),
-            score.alias("score"),
+            score = f"if({supported}, least(double(1), {base} + double({boost!r})), {base})"
+        return Q.struct(
+            start=f"{f}.start",
+            end=f"{f}.end",
+            rank=f"{f}.rank",
+            detector=per_rank(f"{f}.rank", [Q.text(d.name) for d in ranked]),
+            entity=per_rank(f"{f}.rank", [Q.text(d.entity) for d in ranked]),
+            pii_type=per_rank(f"{f}.rank", [Q.text(d.pii_type) for d in ranked]),
+            value=f"{f}.value",
+            pattern_score=base,
+            score=score,
         )
 
-    def scored_all(items: Column) -> Column:
+    def scored_all(items: str) -> str:
         if boost == 0 or not any(d.context for d in ranked):
-            return F.transform(items, lambda f: scored(None, f))
-        return let(chunks_of(text), lambda chunks: F.transform(items, lambda f: scored(chunks, f)))
+            return Q.transform(items, lambda f: scored(None, f))
+        return Q.let(
+            chunks_of(text), lambda chunks: Q.transform(items, lambda f: scored(chunks, f))
+        )
 
-    return let(accepted, lambda a: F.when(F.size(a) == 0, no_findings()).otherwise(scored_all(a)))
+    return Q.let(accepted, lambda a: f"if(size({a}) = 0, {empty(FINDING_TYPE)}, {scored_all(a)})")
 
 
-def untangle(spans: Column) -> Column:
+def untangle(spans: str) -> str:
     """Drop overlaps: higher score, longer, further left, earlier detector wins.
 
     Returns the survivors in text order. Only spans that hang together through
     overlaps are compared with one another.
     """
 
-    def greedy(group: Column) -> Column:
-        ordered = F.array_sort(
-            F.transform(
-                group,
-                lambda s: F.struct(
-                    (-s["score"]).alias("a"),
-                    (s["start"] - s["end"]).alias("b"),
-                    s["start"].alias("c"),
-                    s["rank"].alias("d"),
-                    s.alias("span"),
-                ),
-            )
-        )
-        kept = F.aggregate(
-            ordered,
-            empty_like(group),
-            lambda acc, x: F.when(
-                F.exists(
-                    acc,
-                    lambda k: (k["start"] < x["span"]["end"]) & (x["span"]["start"] < k["end"]),
-                ),
-                acc,
-            ).otherwise(F.array_append(acc, x["span"])),
-        )
-        return F.array_sort(kept)
-
-    def by_group(a: Column) -> Column:
-        reach = running(F.transform(a, lambda s: s["end"]), F.greatest)
-
-        def split_at(state: Column) -> Column:
-            heads, size = state["heads"], F.size(a)
-            return F.transform(
-                heads,
-                lambda head, i: F.slice(
-                    a, head + 1, F.coalesce(F.get(heads, i + 1), size) - head
-                ),
-            )
+    def overlap(a: str, b: str) -> str:
+        return f"{a}.start < {b}.end and {b}.start < {a}.end"
 
-        heads = let(
-            reach,
-            lambda r: F.filter(
-                F.sequence(F.lit(0), F.size(a) - 1),
-                lambda i: (i == 0) | (F.get(a, i)["start"] >= F.get(r, i - 1)),
+    def greedy(group: str) -> str:
+        by_rank = Q.transform(
+            group,
+            lambda s: Q.struct(
+                a=f"-{s}.score", b=f"{s}.start - {s}.end", c=f"{s}.start", d=f"{s}.rank", span=s
             ),
         )
-        groups = let(F.struct(heads.alias("heads")), split_at)
-        return F.flatten(
-            F.transform(groups, lambda g: F.when(F.size(g) == 1, g).otherwise(greedy(g)))
+        kept = Q.aggregate(
+            f"array_sort({by_rank})",
+            Q.keep(group, lambda _: "false"),
+            lambda acc, x: f"if({Q.exists(acc, lambda k: overlap(k, f'{x}.span'))}, {acc}, "
+            f"array_append({acc}, {x}.span))",
         )
-
-    def tangled(a: Column) -> Column:
-        return F.exists(
-            F.zip_with(
-                F.slice(a, F.lit(1), F.size(a) - 1),
-                F.slice(a, F.lit(2), F.size(a) - 1),
-                lambda x, y: y["start"] < x["end"],
+        return f"array_sort({kept})"
+
+    def by_group(a: str) -> str:
+        heads = Q.let(
+            Q.running(Q.transform(a, lambda s: f"{s}.end"), lambda x, y: f"greatest({x}, {y})"),
+            lambda reach: Q.keep(
+                f"sequence(0, size({a}) - 1)",
+                lambda i: f"{i} = 0 or get({a}, {i}).start >= get({reach}, {i} - 1)",
+            ),
+        )
+        groups = Q.let(
+            heads,
+            lambda hs: Q.transform_indexed(
+                hs,
+                lambda head, i: f"slice({a}, {head} + 1, coalesce(get({hs}, {i} + 1), size({a})) - {head})",
             ),
-            lambda hit: hit,
         )
+        settled = Q.transform(groups, lambda g: f"if(size({g}) = 1, {g}, {greedy(g)})")
+        return f"flatten({settled})"
+
+    def tangled(a: str) -> str:
+        neighbours = Q.zip_with(
+            f"slice({a}, 1, size({a}) - 1)",
+            f"slice({a}, 2, size({a}) - 1)",
+            lambda x, y: f"{y}.start < {x}.end",
+        )
+        return Q.exists(neighbours, lambda hit: hit)
 
-    return let(
-        F.array_sort(spans),
-        lambda a: F.when(F.size(a) < 2, a).when(~tangled(a), a).otherwise(by_group(a)),
+    return Q.let(
+        f"array_sort({spans})",
+        lambda a: f"case when size({a}) < 2 then {a} when not {tangled(a)} then {a} "
+        f"else {by_group(a)} end",
     )
 
 
-def rewrite(text: Column, spans: Column) -> Column:
+def rewrite(text: str, spans: str) -> str:
     """Replace each span by its `token`; spans are sorted and do not overlap."""
 
-    def pieces(s: Column) -> Column:
-        def piece(x: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(s["spans"], i - 1)["end"], F.lit(0))
-            return F.concat(cut(s["chunks"], before, x["start"]), x["token"])
-
-        tail = cut(s["chunks"], last(s["spans"])["end"], F.length(text))
-        return F.concat(F.array_join(F.transform(s["spans"], piece), ""), tail)
+    def joined(s: str, chunks: str) -> str:
+        pieces = Q.transform_indexed(
+            s,
+            lambda x, i: "concat("
+            + Q.let(
+                f"coalesce(get({s}, {i} - 1).end, 0)", lambda left: cut(chunks, left, f"{x}.start")
+            )
+            + f", {x}.token)",
+        )
+        tail = Q.let(f"{Q.last(s)}.end", lambda left: cut(chunks, left, f"length({text})"))
+        return f"concat(array_join({pieces}, ''), {tail})"
 
-    return let(F.struct(spans.alias("spans"), chunks_of(text).alias("chunks")), pieces)
+    return Q.let(spans, lambda s: Q.let(chunks_of(text), lambda chunks: joined(s, chunks)))
 
 
-def mask_known(text: Column, known: Column) -> Column:
+def mask_known(text: str, known: str) -> str:
     """Blank out known values in list order: struct<text, spans>.
 
     `known` is array<struct<seq,value,pii_type>>, sorted. A masked stretch keeps
     its length, so later offsets still refer to the source text.
     """
-    start = F.struct(text.alias("text"), no_findings().alias("spans"))
 
-    def step(acc: Column, k: Column) -> Column:
-        quoted = F.concat(F.lit(r"\Q"), F.replace(k["value"], F.lit(r"\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E"))
-        places = let(
-            F.split(acc["text"], quoted, -1),
-            lambda gaps: _placed(F.array_repeat(k["value"], F.size(gaps) - 1), gaps),
+    def step(acc: str, k: str) -> str:
+        # Quote for a regex; a \E inside the value is spelled out between two quotes.
+        quoted = (
+            f"concat({Q.text(chr(92) + 'Q')}, replace({k}.value, {Q.text(chr(92) + 'E')}, "
+            f"{Q.text(chr(92) + 'E' + chr(92) * 2 + 'E' + chr(92) + 'Q')}), {Q.text(chr(92) + 'E')})"
+        )
+        places = Q.let(
+            f"split({acc}.text, {quoted}, -1)",
+            lambda gaps: Q.let(
+                f"array_repeat({k}.value, size({gaps}) - 1)", lambda m: _placed(m, gaps)
+            ),
         )
-        spans = F.transform(
+        spans = Q.transform(
             places,
-            lambda p: F.struct(
-                p["start"].alias("start"),
-                p["end"].alias("end"),
-                F.lit(-1).alias("rank"),
-                F.lit("known").alias("detector"),
-                k["pii_type"].alias("entity"),
-                k["pii_type"].alias("pii_type"),
-                k["value"].alias("value"),
-                F.lit(1.0).alias("pattern_score"),
-                F.lit(1.0).alias("score"),
+            lambda p: Q.struct(
+                start=f"{p}.start",
+                end=f"{p}.end",
+                rank="-1",
+                detector="'known'",
+                entity=f"{k}.pii_type",
+                pii_type=f"{k}.pii_type",
+                value=f"{k}.value",
+                pattern_score="double(1)",
+                score="double(1)",
             ),
         )
-        blank = F.repeat(F.lit(MASK), F.length(k["value"]))
-        masked = F.struct(
-            F.replace(acc["text"], k["value"], blank).alias("text"),
-            F.concat(acc["spans"], spans).cast(FINDING_TYPE).alias("spans"),
+        blank = f"repeat({Q.text(MASK)}, length({k}.value))"
+        masked = Q.struct(
+            text=f"replace({acc}.text, {k}.value, {blank})",
+            spans=f"cast(concat({acc}.spans, {spans}) as {FINDING_TYPE})",
         )
-        return F.when(F.contains(acc["text"], k["value"]) & (k["value"] != ""), masked).otherwise(acc)
+        return f"if({k}.value != '' and contains({acc}.text, {k}.value), {masked}, {acc})"
 
-    return F.aggregate(F.coalesce(known, empty_like(known)), start, step)
+    none = Q.keep(known, lambda _: "false")
+    start = Q.struct(text=text, spans=empty(FINDING_TYPE))
+    return Q.aggregate(f"coalesce({known}, {none})", start, step)

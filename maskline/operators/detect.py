@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from maskline.catalog import ENTITY_OF_TYPE, TYPE_OF_ENTITY, Detector, only
 from maskline.functions import spans as S
+from maskline.functions import sql as Q
 
 BOOST = 0.35
 WINDOW = 5
@@ -57,14 +58,15 @@ def detect(
     overlapping findings are settled first.
     """
     rows = _applicable(rows, entities, min_score, boost)
-    found = S.findings(F.col(text), as_column(lang), rows, boost=boost, window=window)
+    found = S.findings(Q.name(text), "_lang", rows, boost=boost, window=window)
     if min_score is not None:
-        found = F.filter(found, lambda f: f["score"] >= min_score)
+        found = Q.keep(found, lambda f: f"{f}.score >= double({min_score!r})")
     if resolve:
         found = S.untangle(found)
     return (
-        docs.where(S.hinted(F.col(text), rows))
-        .select(*key, F.inline(found))
+        docs.where(S.hinted(Q.name(text), rows))
+        .withColumn("_lang", as_column(lang))
+        .select(*key, F.expr(f"inline({found})"))
         .select(*key, "detector", "entity", "pii_type", "start", "end", "value", "pattern_score", "score")
     )
 
@@ -79,11 +81,12 @@ def look_alikes(
 ) -> DataFrame:
     """Every shape match with the outcome of its checksum in `valid`."""
     rows = list(rows)
-    names = list(dict.fromkeys(d.name for d in rows))
-    found = S.candidates(F.col(text), as_column(lang), rows)
+    names = [d.name for d, _ in S.merged(rows)]
+    found = S.candidates(Q.name(text), "_lang", rows)
     return (
-        docs.where(S.hinted(F.col(text), rows))
-        .select(*key, F.inline(found))
+        docs.where(S.hinted(Q.name(text), rows))
+        .withColumn("_lang", as_column(lang))
+        .select(*key, F.expr(f"inline({found})"))
         .withColumn("detector", F.get(F.array(*[F.lit(n) for n in names]), F.col("rank")))
         .select(*key, "detector", "start", "end", "value", "valid")
     )

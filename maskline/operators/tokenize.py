@@ -9,9 +9,8 @@ a cheap test says it may hold something to replace.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +18,8 @@ from pyspark.sql import types as T
 
 from maskline.catalog import Detector, only
 from maskline.functions import spans as S
-from maskline.functions.arrays import let
-from maskline.functions.leaves import leaves, rebuilt
+from maskline.functions import sql as Q
+from maskline.functions.leaves import has_text, leaves, rebuilt
 from maskline.operators.detect import BOOST, WINDOW, as_column
 from maskline.operators.lookup import salted_join
 from maskline.operators.mapping import DIGEST_CHARS, SINGLE_TASK_VALUES, extend, parse_tokens
@@ -39,36 +38,29 @@ class Tokenized:
     spans: DataFrame
 
 
-def _columns(df: DataFrame, names: Iterable[str]) -> list[tuple[str, T.DataType, Column]]:
+def _columns(df: DataFrame, names: Iterable[str]) -> list[tuple[str, T.DataType, str]]:
     """Present columns with their type and root path; absent ones are skipped."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return [(n, kinds[n], F.lit(str(i))) for i, n in enumerate(names) if n in kinds]
+    return [(n, kinds[n], f"'{i}'") for i, n in enumerate(names) if n in kinds]
 
 
 def _is_text(kind: T.DataType) -> bool:
     return isinstance(kind, T.StringType)
 
 
-def _all_leaves(columns) -> Column:
-    return F.concat(*[leaves(F.col(n), kind, path) for n, kind, path in columns])
+def _all_leaves(columns) -> str:
+    return f"concat({', '.join(leaves(Q.name(n), kind, path) for n, kind, path in columns)})"
 
 
-def _any(tests: list[Column]) -> Column:
-    return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
-
-
-def _at(path: Column, found: Column) -> Column:
-    return F.transform(
-        found,
-        lambda f: F.struct(
-            path.alias("path"),
-            f["start"].alias("start"),
-            f["end"].alias("end"),
-            f["entity"].alias("entity"),
-            f["pii_type"].alias("pii_type"),
-            f["value"].alias("value"),
-        ),
-    )
+def _any_leaf(columns, test: Callable[[str], str]) -> Column:
+    """True where some string in the columns passes `test`; never null."""
+    tests = [
+        test(Q.name(n))
+        if _is_text(kind)
+        else Q.exists(leaves(Q.name(n), kind, path), lambda leaf: test(f"{leaf}.text"))
+        for n, kind, path in columns
+    ]
+    return F.expr(f"coalesce({' or '.join(tests)}, false)")
 
 
 def scan(
@@ -86,48 +78,62 @@ def scan(
 ) -> DataFrame:
     """One narrow pass: key, scope, spans to replace, token strings already present."""
     cells = _columns(df, [*typed, *free_text])
-    whole = [(n, p) for n, kind, p in cells if n in typed and _is_text(kind)]
-    texts = [c for c in cells if c[0] not in typed]
-    language = as_column(lang)
 
-    def of_text(text: Column) -> Column:
-        def detected(t: Column) -> Column:
-            return S.findings(t, language, rows, boost=boost, window=window)
+    def detected(text: str) -> str:
+        return S.findings(text, "_lang", rows, boost=boost, window=window)
 
+    def of_text(text: str) -> str:
         if known is None:
             return S.untangle(detected(text))
-        return let(
-            S.mask_known(text, F.col(known)),
-            lambda m: S.untangle(F.concat(m["spans"], detected(m["text"]))),
+        return Q.let(
+            S.mask_known(text, Q.name(known)),
+            lambda m: S.untangle(f"concat({m}.spans, {detected(f'{m}.text')})"),
+        )
+
+    def of_leaf(leaf: str) -> str:
+        return Q.transform(
+            of_text(f"{leaf}.text"),
+            lambda f: Q.struct(
+                path=f"{leaf}.path",
+                start=f"{f}.start",
+                end=f"{f}.end",
+                entity=f"{f}.entity",
+                pii_type=f"{f}.pii_type",
+                value=f"{f}.value",
+            ),
         )
 
-    parts = [F.array().cast(SPAN_TYPE)]
-    seen = F.array().cast("array<string>")
+    parts, seen = [], S.empty("array<string>")
+    texts = [c for c in cells if c[0] not in typed]
     if texts:
-        found = _all_leaves(texts)
-        parts.append(
-            F.flatten(F.transform(found, lambda leaf: _at(leaf["path"], of_text(leaf["text"]))))
+        parts.append(f"flatten({Q.transform(_all_leaves(texts), of_leaf)})")
+        present = Q.transform(
+            _all_leaves(texts),
+            lambda leaf: Q.transform(S.tokens_in(f"{leaf}.text"), lambda t: f"{t}.value"),
         )
-        seen = F.array_distinct(
-            F.flatten(
-                F.transform(
-                    found, lambda leaf: F.transform(S.tokens_in(leaf["text"]), lambda t: t["value"])
-                )
+        seen = f"array_distinct(flatten({present}))"
+    for column, kind, path in cells:
+        if column in typed and _is_text(kind):
+            cell = Q.struct(
+                path=path,
+                start="0",
+                end=f"length({Q.name(column)})",
+                entity=Q.text(typed[column]),
+                pii_type=Q.text(typed[column]),
+                value=Q.name(column),
             )
+            parts.append(f"if({Q.name(column)} != '', array({cell}), {S.empty(SPAN_TYPE)})")
+    spans = f"concat({', '.join([S.empty(SPAN_TYPE), *parts])})"
+    return (
+        df.withColumns({"_lang": as_column(lang), "_scope": scope})
+        .select(
+            *key,
+            "_scope",
+            F.expr(f"cast({spans} as {SPAN_TYPE})").alias("_spans"),
+            F.expr(seen).alias("_seen"),
         )
-    for name, path in whole:
-        cell = F.struct(
-            path.alias("path"),
-            F.lit(0).alias("start"),
-            F.length(name).alias("end"),
-            F.lit(typed[name]).alias("entity"),
-            F.lit(typed[name]).alias("pii_type"),
-            F.col(name).alias("value"),
-        )
-        parts.append(F.when(F.col(name) != "", F.array(cell)).otherwise(F.array().cast(SPAN_TYPE)))
-    return df.select(
-        *key, scope.alias("_scope"), F.concat(*parts).cast(SPAN_TYPE).alias("_spans"), seen.alias("_seen")
-    ).where((F.size("_spans") > 0) | (F.size("_seen") > 0))
+        .where("size(_spans) > 0 or size(_seen) > 0")
+    )
 
 
 def _put_back(
@@ -146,22 +152,22 @@ def _put_back(
     )
     plain = len(columns) == 1 and _is_text(columns[0][1])
 
-    def new_text(text: Column, path: Column) -> Column:
+    def new_text(text: str, path: str) -> str:
         if plain:
-            return S.rewrite(text, F.col("_new"))
-        return let(
-            F.filter("_new", lambda s: s["path"] == path),
-            lambda mine: F.when(F.size(mine) > 0, S.rewrite(text, mine)).otherwise(text),
+            return S.rewrite(text, "_new")
+        return Q.let(
+            Q.keep("_new", lambda s: f"{s}.path = {path}"),
+            lambda mine: f"if(size({mine}) > 0, {S.rewrite(text, mine)}, {text})",
         )
 
     changed = {n: (kind, path) for n, kind, path in columns}
     output = [
-        F.when(F.col("_new").isNull(), F.col(f.name))
-        .otherwise(rebuilt(F.col(f.name), *changed[f.name], new_text))
-        .alias(f.name)
-        if f.name in changed
-        else F.col(f.name)
-        for f in df.schema.fields
+        F.expr(
+            f"if(_new is null, {Q.name(c)}, {rebuilt(Q.name(c), *changed[c], new_text)})"
+        ).alias(c)
+        if c in changed
+        else F.col(Q.name(c))
+        for c in df.columns
     ]
     open_rows = df if may_change is None else df.where(may_change)
     done = open_rows.join(per_row, list(key), "left").select(*output)
@@ -252,11 +258,7 @@ def tokenize(
     ]
     may_change = None
     if known is None and not typed and all(d.hint for d in rows):
-        may_change = _any([
-            S.hinted(F.col(n), rows) if _is_text(kind)
-            else F.exists(leaves(F.col(n), kind, path), lambda leaf: S.hinted(leaf["text"], rows))
-            for n, kind, path in columns
-        ])
+        may_change = _any_leaf(columns, lambda text: S.hinted(text, rows))
     return Tokenized(_put_back(df, key, columns, replaced, may_change), full, spans)
 
 
@@ -275,25 +277,20 @@ def restore(
     key = list(key)
     scope = F.lit(CORPUS) if scope is None else scope
     names = columns if columns is not None else [n for n in df.columns if n not in key]
-    cells = [c for c in _columns(df, names) if _holds_text(c[1])]
+    cells = [c for c in _columns(df, names) if has_text(c[1])]
     if not cells:
         return df
-    located = F.flatten(
-        F.transform(
-            _all_leaves(cells),
-            lambda leaf: F.transform(
-                S.tokens_in(leaf["text"]),
-                lambda t: F.struct(
-                    leaf["path"].alias("path"),
-                    t["start"].alias("start"),
-                    t["end"].alias("end"),
-                    t["value"].alias("token"),
-                ),
+    located = Q.transform(
+        _all_leaves(cells),
+        lambda leaf: Q.transform(
+            S.tokens_in(f"{leaf}.text"),
+            lambda t: Q.struct(
+                path=f"{leaf}.path", start=f"{t}.start", end=f"{t}.end", token=f"{t}.value"
             ),
-        )
+        ),
     )
     found, n_tokens = stage(
-        df.select(*key, scope.alias("scope"), F.inline(located)), "tokens"
+        df.select(*key, scope.alias("scope"), F.expr(f"inline(flatten({located}))")), "tokens"
     )
     values = salted_join(
         found,
@@ -302,25 +299,10 @@ def restore(
         spread=[*key, "path", "start"],
         n_left=n_tokens,
     ).select(*key, "path", "start", "end", F.col("value").alias("token"))
-    pattern = F.lit(S.TOKEN_PATTERN)
-
-    def mentions(text: Column) -> Column:
-        return F.contains(text, F.lit("[")) & F.rlike(text, pattern)
-
-    may_change = _any([
-        mentions(F.col(n)) if _is_text(kind)
-        else F.exists(leaves(F.col(n), kind, path), lambda leaf: mentions(leaf["text"]))
-        for n, kind, path in cells
-    ])
+    may_change = _any_leaf(cells, S.mentions_token)
     return _put_back(df, key, cells, values, may_change)
 
 
-def _holds_text(kind: T.DataType) -> bool:
-    from maskline.functions.leaves import has_text
-
-    return has_text(kind)
-
-
 def round_trip_differences(
     source: DataFrame, restored: DataFrame, key: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
