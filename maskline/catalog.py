@@ -44,41 +44,46 @@ CONTEXT_WORDS = {
 }
 
 # `\b` changed its meaning between Java versions, so word edges are spelled out.
+# The look-ahead comes first: most positions fail it without a look back.
 _EDGE = r"(?<![\p{L}\p{N}_])"
+_DIGIT_EDGE = r"(?=\d)" + _EDGE
 _END = r"(?![\p{L}\p{N}_])"
 
 PATTERNS = {
-    "pl_pesel": rf"{_EDGE}\d{{11}}{_END}",
-    "pl_nip": rf"{_EDGE}(?:\d{{10}}|\d{{3}}-\d{{3}}-\d{{2}}-\d{{2}}|\d{{3}}-\d{{2}}-\d{{2}}-\d{{3}}){_END}",
-    "pl_regon": rf"{_EDGE}(?:\d{{14}}|\d{{9}}){_END}",
+    "pl_pesel": rf"{_DIGIT_EDGE}\d{{11}}{_END}",
+    "pl_nip": rf"{_DIGIT_EDGE}(?:\d{{10}}|\d{{3}}-\d{{3}}-\d{{2}}-\d{{2}}|\d{{3}}-\d{{2}}-\d{{2}}-\d{{3}}){_END}",
+    "pl_regon": rf"{_DIGIT_EDGE}(?:\d{{14}}|\d{{9}}){_END}",
     "pl_id_card": rf"{_EDGE}[A-Z]{{3}} ?\d{{6}}{_END}",
     "pl_passport": rf"{_EDGE}[A-Z]{{2}} ?\d{{7}}{_END}",
     "pl_iban": rf"{_EDGE}PL\d{{2}}(?: ?\d{{4}}){{6}}{_END}",
-    "pl_phone": rf"(?<![\p{{L}}\p{{N}}_+])(?:\+48[ -]?)?\d{{3}}[ -]?\d{{3}}[ -]?\d{{3}}{_END}",
-    "pl_krs": rf"{_EDGE}\d{{10}}{_END}",
-    "pl_postal_code": rf"{_EDGE}\d{{2}}-\d{{3}}{_END}",
+    "pl_phone": rf"(?=[+\d])(?<![\p{{L}}\p{{N}}_+])(?:\+48[ -]?)?\d{{3}}[ -]?\d{{3}}[ -]?\d{{3}}{_END}",
+    "pl_krs": rf"{_DIGIT_EDGE}\d{{10}}{_END}",
+    "pl_postal_code": rf"{_DIGIT_EDGE}\d{{2}}-\d{{3}}{_END}",
     # A local part starts where a run of its characters starts (or where the last
     # match ended): a long run without "@" is then read once, not once per start.
     # The domain repeats one character, not a label group, because Java matches
     # repeated groups of varying length recursively and runs out of stack.
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
-    "credit_card": rf"{_EDGE}(?:\d{{13,19}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{4}}){_END}",
+    "email": r"(?=[A-Za-z0-9._%+-])(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
+    "credit_card": rf"{_DIGIT_EDGE}(?:\d{{13,19}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{4}}){_END}",
 }
 
-# Cheap necessary conditions, tried before the patterns. "=x" asks for the
-# literal x, anything else is a small regex without lookaround.
+# Necessary conditions, tried in order before the pattern. "=x" asks for the
+# literal x, anything else is a small regex without lookaround. Detectors with
+# the same first condition share its evaluation, and most texts stop there.
+_LONG_NUMBER = r"\d{3}[ -]?\d{2}"
+
 HINTS = {
-    "pl_pesel": r"\d{11}",
-    "pl_nip": r"\d{10}|\d{3}-\d",
-    "pl_regon": r"\d{9}",
-    "pl_id_card": r"[A-Z]{3} ?\d{6}",
-    "pl_passport": r"[A-Z]{2} ?\d{7}",
-    "pl_iban": "=PL",
-    "pl_phone": r"\d{3}[ -]?\d{3}[ -]?\d{3}",
-    "pl_krs": r"\d{10}",
-    "pl_postal_code": r"\d-\d{3}",
-    "email": "=@",
-    "credit_card": r"\d{4}[ -]?\d{4}[ -]?\d{4}",
+    "pl_pesel": (_LONG_NUMBER, r"\d{11}"),
+    "pl_nip": (_LONG_NUMBER, r"\d{10}|\d{3}-\d{2,3}-\d{2}-\d{2}"),
+    "pl_regon": (_LONG_NUMBER, r"\d{9}"),
+    "pl_id_card": (_LONG_NUMBER, r"[A-Z] ?\d{6}"),
+    "pl_passport": (_LONG_NUMBER, r"[A-Z] ?\d{7}"),
+    "pl_iban": ("=PL", r"PL\d{2} ?\d{4}"),
+    "pl_phone": (_LONG_NUMBER, r"\d{3}[ -]?\d{3}[ -]?\d{3}"),
+    "pl_krs": (_LONG_NUMBER, r"\d{10}"),
+    "pl_postal_code": (r"\d-\d{3}",),
+    "email": ("=@",),
+    "credit_card": (_LONG_NUMBER, r"\d{4}[ -]?\d{4}[ -]?\d{4}"),
 }
 
 CHECKSUMS = {
@@ -113,7 +118,7 @@ class Detector:
     score: float
     context: tuple[str, ...] = ()
     valid: str | None = None
-    hint: str | None = None
+    hint: tuple[str, ...] = ()
     opt_in: bool = False
 
     def __post_init__(self) -> None:
@@ -160,11 +165,11 @@ def custom_detector(
     lang: str = "pl",
     context: Sequence[str] = (),
     valid: str | None = None,
-    hint: str | None = None,
+    hint: Sequence[str] = (),
 ) -> Detector:
     """A caller's own detector; `regex` uses Java syntax and must not match ''."""
     return Detector(
-        name, pii_type, entity or pii_type, lang, regex, score, tuple(context), valid, hint
+        name, pii_type, entity or pii_type, lang, regex, score, tuple(context), valid, tuple(hint)
     )
 
 

@@ -26,6 +26,7 @@ FINDING_TYPE = (
     "value:string,pattern_score:double,score:double>>"
 )
 CANDIDATE_TYPE = "array<struct<start:int,end:int,rank:int,value:string,valid:boolean>>"
+HIT_TYPE = "array<struct<rank:int,regex:string,matches:array<string>>>"
 PLACE_TYPE = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -76,12 +77,29 @@ def mentions_token(text: str) -> str:
     return f"(contains({text}, '[') and {text} rlike {Q.text(TOKEN_PATTERN)})"
 
 
-def hinted(text: str, rows: Sequence[Detector]) -> str:
-    """True wherever one of the detectors could match; cheap, never null."""
-    tests = [_hint(text, hint) for hint in dict.fromkeys(d.hint for d in rows)] or ["false"]
+def _by_gate(rows: Sequence[Detector]) -> dict[str | None, list[Detector]]:
+    """Detectors grouped by the first of their hints."""
+    gates: dict[str | None, list[Detector]] = {}
+    for d in rows:
+        gates.setdefault(d.hint[0] if d.hint else None, []).append(d)
+    return gates
+
+
+def gated(text: str, rows: Sequence[Detector]) -> str:
+    """True wherever a detector could match, by first hints only; never null."""
+    tests = [_hint(text, gate) for gate in _by_gate(rows)] or ["false"]
     return f"coalesce({' or '.join(tests)}, false)"
 
 
+def hinted(text: str, rows: Sequence[Detector]) -> str:
+    """True wherever a detector could match, by all hints; never null."""
+    tests = []
+    for gate, group in _by_gate(rows).items():
+        rest = [_hints(text, d.hint[1:]) for d in group]
+        tests.append(f"({_hint(text, gate)} and ({' or '.join(dict.fromkeys(rest))}))")
+    return f"coalesce({' or '.join(tests or ['false'])}, false)"
+
+
 def _hint(text: str, hint: str | None) -> str:
     if hint is None:
         return "true"
@@ -90,6 +108,10 @@ def _hint(text: str, hint: str | None) -> str:
     return f"{text} rlike {Q.text(hint)}"
 
 
+def _hints(text: str, hints: Sequence[str]) -> str:
+    return f"({' and '.join(_hint(text, h) for h in hints) or 'true'})"
+
+
 def merged(rows: Sequence[Detector]) -> list[tuple[Detector, list[str]]]:
     """The same detector listed for several languages runs once."""
     found: dict[tuple, tuple[Detector, list[str]]] = {}
@@ -111,12 +133,17 @@ def candidates(text: str, lang: str, rows: Sequence[Detector]) -> str:
         return Q.struct(
             rank=str(rank),
             regex=regex,
-            matches=f"if({spoken} and {_hint(text, d.hint)}, regexp_extract_all({text}, {regex}, 0), "
+            matches=f"if({spoken} and {_hints(text, d.hint[1:])}, regexp_extract_all({text}, {regex}, 0), "
             "cast(array() as array<string>))",
         )
 
-    hits = Q.array(hit(rank, d, langs) for rank, (d, langs) in enumerate(ranked))
-    found = Q.keep(hits, lambda h: f"size({h}.matches) > 0")
+    place = {id(d): (rank, langs) for rank, (d, langs) in enumerate(ranked)}
+    hits = [
+        f"if({_hint(text, gate)}, {Q.array(hit(place[id(d)][0], d, place[id(d)][1]) for d in group)}, "
+        f"{empty(HIT_TYPE)})"
+        for gate, group in _by_gate([d for d, _ in ranked]).items()
+    ]
+    found = Q.keep(f"concat({', '.join(hits)})", lambda h: f"size({h}.matches) > 0")
     checked = "".join(
         f" when {rank} then coalesce({d.valid.replace('{}', '%s.value')}, false)"
         for rank, (d, _) in enumerate(ranked)

@@ -64,7 +64,7 @@ def detect(
     if resolve:
         found = S.untangle(found)
     return (
-        docs.where(S.hinted(Q.name(text), rows))
+        docs.where(S.gated(Q.name(text), rows))
         .withColumn("_lang", as_column(lang))
         .select(*key, F.expr(f"inline({found})"))
         .select(*key, "detector", "entity", "pii_type", "start", "end", "value", "pattern_score", "score")
@@ -84,7 +84,7 @@ def look_alikes(
     names = [d.name for d, _ in S.merged(rows)]
     found = S.candidates(Q.name(text), "_lang", rows)
     return (
-        docs.where(S.hinted(Q.name(text), rows))
+        docs.where(S.gated(Q.name(text), rows))
         .withColumn("_lang", as_column(lang))
         .select(*key, F.expr(f"inline({found})"))
         .withColumn("detector", F.get(F.array(*[F.lit(n) for n in names]), F.col("rank")))

@@ -22,7 +22,8 @@ from maskline.functions import sql as Q
 from maskline.functions.leaves import has_text, leaves, rebuilt
 from maskline.operators.detect import BOOST, WINDOW, as_column
 from maskline.operators.lookup import salted_join
-from maskline.operators.mapping import DIGEST_CHARS, SINGLE_TASK_VALUES, extend, parse_tokens
+from maskline.operators.mapping import DIGEST_CHARS, MAPPING_COLUMNS, SINGLE_TASK_VALUES, parse_tokens
+from maskline.operators.mapping import allocate as new_entries
 from maskline.sources.staging import stage
 
 SPAN_TYPE = "array<struct<path:string,start:int,end:int,entity:string,pii_type:string,value:string>>"
@@ -31,11 +32,14 @@ CORPUS = "corpus"
 
 @dataclass(frozen=True)
 class Tokenized:
-    """`table`: the rewritten input. `mapping`: all entries. `spans`: what was replaced."""
+    """`table`: the rewritten input. `mapping`: all entries, of which `new` were added
+    by this run. `spans`: what was found.
+    """
 
     table: DataFrame
     mapping: DataFrame
     spans: DataFrame
+    new: DataFrame | None = None
 
 
 def _columns(df: DataFrame, names: Iterable[str]) -> list[tuple[str, T.DataType, str]]:
@@ -76,7 +80,11 @@ def scan(
     boost: float = BOOST,
     window: int = WINDOW,
 ) -> DataFrame:
-    """One narrow pass: key, scope, spans to replace, token strings already present."""
+    """One narrow pass: key, scope, spans to replace, token strings already present.
+
+    Only rows that pass the detectors' first hints are looked at closely. There
+    is no filter on the result: Spark would push it down and search twice.
+    """
     cells = _columns(df, [*typed, *free_text])
 
     def detected(text: str) -> str:
@@ -124,15 +132,13 @@ def scan(
             )
             parts.append(f"if({Q.name(column)} != '', array({cell}), {S.empty(SPAN_TYPE)})")
     spans = f"concat({', '.join([S.empty(SPAN_TYPE), *parts])})"
-    return (
-        df.withColumns({"_lang": as_column(lang), "_scope": scope})
-        .select(
-            *key,
-            "_scope",
-            F.expr(f"cast({spans} as {SPAN_TYPE})").alias("_spans"),
-            F.expr(seen).alias("_seen"),
-        )
-        .where("size(_spans) > 0 or size(_seen) > 0")
+    if known is None and not typed and texts:
+        df = df.where(_any_leaf(texts, lambda t: f"({S.gated(t, rows)} or contains({t}, '['))"))
+    return df.withColumns({"_lang": as_column(lang), "_scope": scope}).select(
+        *key,
+        "_scope",
+        F.expr(f"cast({spans} as {SPAN_TYPE})").alias("_spans"),
+        F.expr(seen).alias("_seen"),
     )
 
 
@@ -226,15 +232,17 @@ def tokenize(
         spans = spans.where(F.col("entity").isin(entities) | F.col("path").isin(*whole) if whole
                             else F.col("entity").isin(entities))
 
+    new = None
     if allocate:
         reserved = parse_tokens(found.select(F.col("_scope").alias("scope"), F.explode("_seen").alias("token")))
-        full = extend(
-            mapping,
+        new = new_entries(
             spans,
+            mapping,
             reserved=reserved,
             secret=secret,
             digest_chars=0 if n_spans <= SINGLE_TASK_VALUES else DIGEST_CHARS,
         )
+        full = new if mapping is None else mapping.select(*MAPPING_COLUMNS).unionByName(new)
     elif mapping is None:
         raise ValueError("allocate=False needs a mapping to look values up in")
     else:
@@ -259,7 +267,7 @@ def tokenize(
     may_change = None
     if known is None and not typed and all(d.hint for d in rows):
         may_change = _any_leaf(columns, lambda text: S.hinted(text, rows))
-    return Tokenized(_put_back(df, key, columns, replaced, may_change), full, spans)
+    return Tokenized(_put_back(df, key, columns, replaced, may_change), full, spans, new)
 
 
 def restore(
