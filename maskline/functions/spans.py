@@ -6,7 +6,7 @@ SQL text and can be used inside a lambda as well.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from maskline.catalog import Detector
 from maskline.functions import sql as Q
@@ -18,6 +18,11 @@ CHUNK = 1 << CHUNK_BITS
 NEARBY = 1024
 
 TOKEN_PATTERN = r"\[[A-Z_]+_\d+\]"
+# Matches are found by putting this character around them and splitting there:
+# one pass of the pattern gives values and gaps. Texts that hold it are read
+# with SUBSTITUTE in its place, and their values are cut from the source.
+MARK = "\ue001"
+SUBSTITUTE = "\ue002"
 # A private-use character: neither letter nor digit, so word edges hold beside it.
 MASK = "\ue000"
 
@@ -26,7 +31,7 @@ FINDING_TYPE = (
     "value:string,pattern_score:double,score:double>>"
 )
 CANDIDATE_TYPE = "array<struct<start:int,end:int,rank:int,value:string,valid:boolean>>"
-HIT_TYPE = "array<struct<rank:int,regex:string,matches:array<string>>>"
+HIT_TYPE = "array<struct<rank:int,parts:array<string>>>"
 PLACE_TYPE = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -60,17 +65,34 @@ def _placed(matches: str, gaps: str) -> str:
     )
 
 
-def occurrences(text: str, regex: str) -> str:
-    """All matches of `regex`, left to right: array<struct<start,end,value>>."""
+def _parts(text: str, regex: str) -> str:
+    """Alternating gaps and matches; a single part when nothing matches."""
+    return (
+        f"split(regexp_replace({text}, {regex}, {Q.text(MARK + '$0' + MARK)}), {Q.text(MARK)}, -1)"
+    )
+
+
+def _matches(parts: str, body: Callable[[str, str, str], str]) -> str:
+    """`body(start, end, value)` for every match in at least three parts."""
     return Q.let(
-        f"regexp_extract_all({text}, {regex}, 0)",
-        lambda m: f"if(size({m}) = 0, {empty(PLACE_TYPE)}, {_placed(m, f'split({text}, {regex}, -1)')})",
+        Q.running(Q.transform(parts, lambda p: f"length({p})"), lambda a, b: f"{a} + {b}"),
+        lambda ends: Q.transform(
+            f"sequence(1, size({parts}) - 2, 2)",
+            lambda i: body(f"get({ends}, {i} - 1)", f"get({ends}, {i})", f"get({parts}, {i})"),
+        ),
     )
 
 
 def tokens_in(text: str) -> str:
-    pattern = Q.text(TOKEN_PATTERN)
-    return f"if(contains({text}, '['), {occurrences(text, pattern)}, {empty(PLACE_TYPE)})"
+    """Token strings of a text: array<struct<start,end,value>>."""
+    clean = f"replace({text}, {Q.text(MARK)}, {Q.text(SUBSTITUTE)})"
+    placed = Q.let(
+        _parts(clean, Q.text(TOKEN_PATTERN)),
+        lambda parts: f"if(size({parts}) < 3, {empty(PLACE_TYPE)}, "
+        + _matches(parts, lambda start, end, value: Q.struct(start=start, end=end, value=value))
+        + ")",
+    )
+    return f"if(contains({text}, '['), {placed}, {empty(PLACE_TYPE)})"
 
 
 def mentions_token(text: str) -> str:
@@ -126,43 +148,53 @@ def candidates(text: str, lang: str, rows: Sequence[Detector]) -> str:
     ranked = merged(rows)
     if not ranked:
         return empty(CANDIDATE_TYPE)
-
-    def hit(rank: int, d: Detector, langs: list[str]) -> str:
-        spoken = f"{lang} in ({', '.join(Q.text(x) for x in langs)})"
-        regex = Q.text(d.regex)
-        return Q.struct(
-            rank=str(rank),
-            regex=regex,
-            matches=f"if({spoken} and {_hints(text, d.hint[1:])}, regexp_extract_all({text}, {regex}, 0), "
-            "cast(array() as array<string>))",
-        )
-
-    place = {id(d): (rank, langs) for rank, (d, langs) in enumerate(ranked)}
-    hits = [
-        f"if({_hint(text, gate)}, {Q.array(hit(place[id(d)][0], d, place[id(d)][1]) for d in group)}, "
-        f"{empty(HIT_TYPE)})"
-        for gate, group in _by_gate([d for d, _ in ranked]).items()
-    ]
-    found = Q.keep(f"concat({', '.join(hits)})", lambda h: f"size({h}.matches) > 0")
     checked = "".join(
-        f" when {rank} then coalesce({d.valid.replace('{}', '%s.value')}, false)"
+        f" when {rank} then coalesce({d.valid.replace('{}', '%s')}, false)"
         for rank, (d, _) in enumerate(ranked)
         if d.valid is not None
     )
 
-    def placed(h: str) -> str:
-        return Q.transform(
-            _placed(f"{h}.matches", f"split({text}, {h}.regex, -1)"),
-            lambda p: Q.struct(
-                start=f"{p}.start",
-                end=f"{p}.end",
-                rank=f"{h}.rank",
-                value=f"{p}.value",
-                valid=f"case {h}.rank{checked.replace('%s', p)} else true end" if checked else "true",
+    def candidate(rank: str, start: str, end: str, value: str) -> str:
+        def of(v: str) -> str:
+            test = f"case {rank}{checked.replace('%s', v)} else true end" if checked else "true"
+            return Q.struct(start=start, end=end, rank=rank, value=v, valid=test)
+
+        return Q.let(value, of)
+
+    def search(clean: str) -> str:
+        def hit(rank: int, d: Detector, langs: list[str]) -> str:
+            spoken = f"{lang} in ({', '.join(Q.text(x) for x in langs)})"
+            parts = f"if({spoken}, {_parts(clean, Q.text(d.regex))}, array(''))"
+            return Q.struct(rank=str(rank), parts=parts)
+
+        place = {id(d): (rank, langs) for rank, (d, langs) in enumerate(ranked)}
+        hits = [
+            f"if({_hint(clean, gate)}, {Q.array(hit(place[id(d)][0], d, place[id(d)][1]) for d in group)}, "
+            f"{empty(HIT_TYPE)})"
+            for gate, group in _by_gate([d for d, _ in ranked]).items()
+        ]
+        found = Q.keep(f"concat({', '.join(hits)})", lambda h: f"size({h}.parts) > 2")
+        placed = Q.transform(
+            found,
+            lambda h: _matches(
+                f"{h}.parts", lambda start, end, value: candidate(f"{h}.rank", start, end, value)
+            ),
+        )
+        return Q.keep(f"flatten({placed})", lambda c: f"{c}.end > {c}.start")
+
+    mark = Q.text(MARK)
+
+    def from_source(found: str) -> str:
+        recut = Q.transform(
+            found,
+            lambda c: candidate(
+                f"{c}.rank", f"{c}.start", f"{c}.end", f"substring({text}, {c}.start + 1, {c}.end - {c}.start)"
             ),
         )
+        return f"if(contains({text}, {mark}), {recut}, {found})"
 
-    return f"flatten({Q.transform(found, placed)})"
+    clean = f"replace({text}, {mark}, {Q.text(SUBSTITUTE)})"
+    return Q.let(Q.let(clean, search), from_source)
 
 
 def words_before(chunks: str, start: str, window: int) -> str:

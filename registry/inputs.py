@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskline.sources.documents import spread
+
 
 def _digits(number: str, width: int) -> str:
     return f"lpad(cast({number} as string), {width}, '0')"
@@ -77,8 +79,18 @@ CALLS_SQL = (
 )
 
 
+KEYS = {
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+    "conversations": ["conv_id", "turn"],
+    "orders": ["o_orderkey"],
+    "customer": ["c_custkey"],
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, *KEYS[name]) if name in KEYS else rows
 
 
 def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -490,7 +490,7 @@ def customer_files(spark, sf):
 
 
 def document_stream(spark, sf, source=None):
-    schema = I.table(spark, sf, "documents").schema
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "documents.parquet" if source is None else "*.parquet")
