@@ -15,7 +15,8 @@ from maskline.functions import sql as Q
 # chunks first, so that many cuts in one long text stay linear.
 CHUNK_BITS = 12
 CHUNK = 1 << CHUNK_BITS
-NEARBY = 1024
+# How far to look back for context words before reading everything before a match.
+NEARBY = (128, 4096)
 
 TOKEN_PATTERN = r"\[[A-Z_]+_\d+\]"
 # Matches are found by putting this character around them and splitting there:
@@ -201,19 +202,24 @@ def words_before(chunks: str, start: str, window: int) -> str:
     """The last `window` white-space separated words before an offset, in lower case.
 
     A nearby stretch is enough when it holds more words than asked for; only
-    otherwise is the whole preceding text read.
+    otherwise is a longer one read, and in the end the whole preceding text.
     """
 
     def words(left: str) -> str:
-        spaced = f"regexp_replace(lower({cut(chunks, left, start)}), {Q.text(chr(92) + 's+')}, ' ')"
+        spaced = f"regexp_replace({cut(chunks, left, start)}, {Q.text(chr(92) + 's+')}, ' ')"
         return f"split(trim({spaced}), ' ')"
 
-    left = f"greatest({start} - {NEARBY}, 0)"
-    enough = Q.let(
-        words(left),
-        lambda near: f"if({start} <= {NEARBY} or size({near}) > {window}, {near}, {words('0')})",
+    enough = words("0")
+    for near in reversed(NEARBY):
+        farther = enough
+        enough = Q.let(
+            words(f"greatest({start} - {near}, 0)"),
+            lambda ws: f"if({start} <= {near} or size({ws}) > {window}, {ws}, {farther})",
+        )
+    nearest = Q.let(
+        enough, lambda ws: f"slice({ws}, greatest(size({ws}) - {window - 1}, 1), {window})"
     )
-    return Q.let(enough, lambda ws: f"slice({ws}, greatest(size({ws}) - {window - 1}, 1), {window})")
+    return Q.transform(nearest, lambda w: f"lower({w})")
 
 
 def findings(

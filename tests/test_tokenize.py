@@ -193,3 +193,37 @@ def test_folder_of_texts(spark, tmp_path):
     assert job.differences.count() == 0
     IO.write_documents(job.documents, str(tmp_path / "out"))
     assert texts(IO.read_table(spark, str(tmp_path / "out")))["a b.txt"] == "jedna\nlinia [EMAIL_001]"
+
+
+def test_paths_for_large_corpora_give_the_same_result(docs, monkeypatch):
+    """Salted look-ups and bucketed numbering, forced on a small corpus with a hot value."""
+    from maskline.operators import lookup
+    from maskline.operators import tokenize as module
+
+    source = docs(*[f"hot@example.pl i osoba{i % 37}@example.pl, 44051401359" for i in range(200)])
+    plain = tokenize(source, ROWS)
+    expected, entries = texts(plain.table), set(plain.mapping.collect())
+    monkeypatch.setattr(lookup, "HOT_ROWS", 50)
+    monkeypatch.setattr(module, "SINGLE_TASK_VALUES", 10)
+    large = tokenize(source, ROWS)
+    assert "_salt" in large.table._jdf.queryExecution().analyzed().toString()
+    assert texts(large.table) == expected and set(large.mapping.collect()) == entries
+    assert texts(restore(large.table, large.mapping)) == texts(source)
+
+
+def test_known_values_without_a_broadcast(docs, spark, monkeypatch):
+    from maskline.operators import lookup
+
+    source = docs(*[f"Jan i Ewa {i}" for i in range(100)]).withColumn("c", F.when(F.col("doc_id") < 80, 1).otherwise(2))
+    known = spark.createDataFrame(
+        [(1, "Jan", "PERSON", 1), (2, "Ewa", "PERSON", 1)], "c int, value string, pii_type string, seq int"
+    )
+
+    def run():
+        listed = attach_known(source, known, ["c"], spread=["doc_id"])
+        return texts(tokenize(listed, [], known=KNOWN).table)
+
+    small = run()
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 50)
+    assert run() == small and small[0] == "[PERSON_001] i Ewa 0".replace("001", small[0][8:11])
