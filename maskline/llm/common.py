@@ -11,6 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from maskline.sources.staging import stage
 
@@ -48,9 +51,9 @@ def rows_of(batches: Iterator[pa.RecordBatch], text_column: str = "text") -> Ite
     """Column lists of slices whose texts hold about SLICE_CHARS characters together."""
     for batch in batches:
         columns = [batch.column(i) for i in range(batch.num_columns)]
-        sizes = np.asarray(
-            pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text_column))), 0)
-        ).astype(np.int64)
+        sized = batch.column(batch.schema.get_field_index(text_column))
+        length = pc.list_value_length if pa.types.is_list(sized.type) else pc.binary_length
+        sizes = np.asarray(pc.fill_null(length(sized), 0)).astype(np.int64)
         start, total = 0, 0
         for i, size in enumerate(sizes.tolist()):
             if total and total + size > SLICE_CHARS:
@@ -61,13 +64,10 @@ def rows_of(batches: Iterator[pa.RecordBatch], text_column: str = "text") -> Ite
             yield tuple(c.slice(start).to_pylist() for c in columns)
 
 
-def map_rows(df: DataFrame, make: Callable, schema: str, text_column: str = "text") -> DataFrame:
+def map_rows(df: DataFrame, make: Callable, schema: str | StructType, text_column: str = "text") -> DataFrame:
     """`make(*columns)` over slices of rows; it returns the output columns as lists or Arrow arrays."""
-    from pyspark.sql.types import StructType
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     ship(df.sparkSession)
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = to_arrow_schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema))
 
     def run(batches):
         for columns in rows_of(batches, text_column):
@@ -119,3 +119,30 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     for k in range(size_used):
         out = mixed(out + hashes[k : n - size_used + 1 + k] + np.uint64(0x9E3779B97F4A7C15))
     return out
+
+
+def keep_rows(df: DataFrame, decide: Callable, text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, for which `decide(texts)` says so (a list of booleans)."""
+    if len(set(df.columns)) != len(df.columns):
+        raise ValueError("column names must differ")
+    ship(df.sparkSession)
+    place = df.columns.index(text_column)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(place)
+            keep = []
+            for (part,) in rows_of([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+                keep += decide(part)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def with_row_key(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    """The table with a column of a new name that says key and text in one short, never null string."""
+    name = "row_key"
+    while name in df.columns:
+        name += "_"
+    parts = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.xxhash64(F.col(text)).cast("string"))
+    return df.withColumn(name, parts), name

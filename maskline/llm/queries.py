@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskline.llm import bpe, superminhash
+from maskline.llm import bpe, decontaminate, language, secrets, superminhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,44 @@ def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+            ",",
+        )
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(F.encode(written(F.filter("spans", lambda s: s["kind"] != "novel")), "UTF-8"), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    test = toxicity.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, labels.where(~test))
+    return toxicity.score(docs, model).select("doc_id", test.alias("held_out"), "score", "predicted", "passages")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    test = toxicity.held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~test))
+    return language.predict(docs, model).select("doc_id", test.alias("held_out"), "lang_pred", "score")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), byte_bpe())
     return bpe.decode(encoded, byte_bpe(), keep=("n_tokens", "ids")).select(
@@ -41,6 +79,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superminhash": op1_superminhash,
+    "op2_secrets": op2_secrets,
+    "op4_toxicity": op4_toxicity,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_language": op7_language,
     "op9_bpe": op9_bpe,
 }
 

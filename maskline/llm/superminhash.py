@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskline.llm.common import WordHashes, map_rows, mixed, shingle_hashes, staged, words_of
+from maskline.llm.common import WordHashes, map_rows, mixed, shingle_hashes, staged, with_row_key, words_of
 from maskline.llm.groups import components
 
 BANDS, ROWS = 30, 5
@@ -345,3 +345,15 @@ def near_duplicates(
         F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("head.key")).alias("component_id"),
         F.when(F.col("node").isNull(), F.lit(True)).otherwise(rank == F.col("head")).alias("first"),
     )
+
+
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows, with all columns, without near-duplicates: of each group its first row stays.
+
+    Of fully repeated rows (same key and text) one stays, whatever its other columns say.
+    """
+    found = near_duplicates(docs, key=key, text=text, words=words, num=num, den=den)
+    keyed, name = with_row_key(docs, key, text)
+    parts = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("text_hash").cast("string"))
+    stay = found.where("first").select(parts.alias(name)).distinct()
+    return keyed.join(stay, name).dropDuplicates([name]).select(*docs.columns)
