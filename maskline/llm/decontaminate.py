@@ -43,7 +43,8 @@ def _words(text: str | None) -> list[bytes]:
 
 def _slot(shingles: np.ndarray, length: int) -> np.ndarray:
     """Places in the bit table of shingles of items with `length` words; 0 stands for any length."""
-    return (mixed(shingles + np.uint64(length) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(TABLE_BITS)).astype(np.int64)
+    salt = np.uint64(length * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return (mixed(shingles + salt) % np.uint64(TABLE_BITS)).astype(np.int64)
 
 
 def simhash(shingles: np.ndarray, weights: np.ndarray) -> int:
