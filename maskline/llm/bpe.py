@@ -26,11 +26,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from maskline.llm.common import ship
+from maskline.llm.common import rows_of, ship
 from maskline.llm.pretokens import codec, tokenizer_source
 
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
 _ROW = pa.schema([("chunk", pa.string()), ("part", pa.int32()), ("payload", pa.binary())])
 
 
@@ -68,8 +70,8 @@ def _unpack_words(data: bytes) -> list[bytes]:
 def _chunks(batches):
     """(keys, texts) of about CHUNK_CHARS characters, in the order of the partition."""
     keys, texts, total = [], [], 0
-    for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    for some_keys, some_texts in rows_of(batches):
+        for key, text in zip(some_keys, some_texts):
             keys.append(key)
             texts.append(text or "")
             total += len(texts[-1])
@@ -91,10 +93,10 @@ def _shards(words, parts: int) -> list[list[bytes]]:
     return shards
 
 
-def _name(number: int, packed: list[bytes]) -> str:
+def _name(number: int, shards: list[list[bytes]]) -> str:
     digest = 0
-    for data in packed:
-        digest = zlib.crc32(data, digest)
+    for words in shards:
+        digest = zlib.crc32(b" ".join(words), digest)
     return f"{TaskContext.get().partitionId()}-{number}-{digest:08x}"
 
 
@@ -122,8 +124,8 @@ def encode(
             distinct = {}
             for t in texts:
                 distinct.update(dict.fromkeys(words_of(t)))
-            packed = [_pack_words(s) for s in _shards(distinct, n_parts)]
-            name = _name(number, packed)
+            shards = _shards(distinct, n_parts)
+            name, packed = _name(number, shards), [_pack_words(s) for s in shards]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * n_parts), pa.array(range(n_parts), pa.int32()), pa.array(packed, pa.binary())],
                 schema=_ROW,
@@ -159,7 +161,7 @@ def encode(
             payload = _pack(np.array(counts, "<u4"), rank[np.concatenate(at)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_name(number, [_pack_words(s) for s in shards])]),
+                    pa.array([_name(number, shards)]),
                     pa.array([-1], pa.int32()),
                     pa.array([payload], pa.binary()),
                     pa.array([keys], placed_schema.field("keys").type),
@@ -193,9 +195,6 @@ def encode(
             [keys, pa.array(totals, pa.int64()), pa.array(ids, pa.binary())], names=[key, "n_tokens", "ids"]
         )
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     plain = "chunk string, part int, payload binary"
     placed = f"{plain}, keys array<{key_type}>"
     placed_schema = to_arrow_schema(StructType.fromDDL(placed))
@@ -227,12 +226,14 @@ def decode(encoded: DataFrame, tokenizer: str, *, key: str = "doc_id", ids: str
     rows = encoded.select(key, *keep, F.col(ids).alias("_ids"))
     schema = rows.drop("_ids").withColumn("decoded", F.lit("")).schema
 
+    arrow = to_arrow_schema(schema)
+
     def run(batches):
         table = pieces.value
         n = len(table)
-        for batch in batches:
+        for *kept, packed in rows_of(batches, "_ids"):
             texts = []
-            for data in batch.column(batch.num_columns - 1).to_pylist():
+            for data in packed:
                 if data is None:
                     texts.append(None)
                     continue
@@ -240,9 +241,9 @@ def decode(encoded: DataFrame, tokenizer: str, *, key: str = "doc_id", ids: str
                 if found.size and found.max() >= n:
                     found = found[found < n]
                 texts.append(b"".join([table[i] for i in found.tolist()]).decode("utf-8", "replace"))
+            columns = [*kept, texts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(texts, pa.string())],
-                names=[*batch.schema.names[:-1], "decoded"],
+                [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow
             )
 
     return rows.mapInArrow(run, schema)
