@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskline.llm import bpe, decontaminate, language, secrets, superminhash, toxicity
+from maskline.llm import (
+    bpe,
+    decontaminate,
+    extract,
+    language,
+    secrets,
+    superminhash,
+    tokencounts,
+    toxicity,
+    urlfilter,
+    vptree,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +60,21 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the URL filter query.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op3_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     test = toxicity.held_out(F.col("doc_id"), 5, 0)
@@ -56,6 +82,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", test.alias("held_out"), "score", "predicted", "passages")
 
 
+def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +97,36 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", test.alias("held_out"), "lang_pred", "score")
 
 
+def op8_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after redaction: e-mail addresses and long digit runs of each text are edited out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pattern = F.lit(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}|[0-9]{6,}")
+    found = F.regexp_extract_all("text", pattern, F.lit(0))
+    # Between two finds lies one piece of the text, so the pieces' lengths give the places.
+    pieces = F.split("text", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}|[0-9]{6,}", -1)
+    steps = F.zip_with(pieces, found, lambda p, f: F.struct(F.length(p).alias("gap"), F.length(f).alias("len")))
+    steps = F.filter(steps, lambda s: s["len"].isNotNull())
+    edit = "struct<start: int, end: int, new: string>"
+    placed = F.aggregate(
+        steps,
+        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{edit}>").alias("edits")),
+        lambda acc, s: F.struct(
+            (acc["at"] + s["gap"] + s["len"]).alias("at"),
+            F.concat(
+                acc["edits"],
+                F.array(
+                    F.struct(
+                        (acc["at"] + s["gap"]).alias("start"),
+                        (acc["at"] + s["gap"] + s["len"]).alias("end"),
+                        F.lit("[REDACTED]").alias("new"),
+                    )
+                ),
+            ).alias("edits"),
+        ),
+    )["edits"]
+    return tokencounts.count_edited(docs.withColumn("edits", placed), byte_bpe())
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), byte_bpe())
     return bpe.decode(encoded, byte_bpe(), keep=("n_tokens", "ids")).select(
@@ -77,13 +137,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superminhash": op1_superminhash,
     "op2_secrets": op2_secrets,
+    "op3_urlfilter": op3_urlfilter,
     "op4_toxicity": op4_toxicity,
+    "op5_vptree": op5_vptree,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
+    "op8_tokencounts": op8_tokencounts,
     "op9_bpe": op9_bpe,
+    "op10_extract": op10_extract,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -115,5 +183,21 @@ WITH RECURSIVE w AS (
 )
 SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
 FROM sets AS s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) AS r USING (doc_id)
+""",
+    "op3_urlfilter": rf"""
+WITH rules (rule_host, rule_path, verdict) AS (
+  VALUES {", ".join(str(r) for r in URL_RULES)}
+), cut AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_UPPER.lower()}'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM cut
+)
+SELECT p.page_id, p.host, p.path, r.rule_host || r.rule_path AS rule, coalesce(r.verdict, 'allow') AS verdict
+FROM parts AS p LEFT JOIN rules AS r
+  ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path)
+QUALIFY row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rule_host || r.rule_path) DESC NULLS LAST) = 1
 """,
 }
