@@ -31,7 +31,7 @@ from maskline.llm.groups import components
 BANDS, ROWS = 30, 5
 PIVOT_ROUNDS = 2
 # Buckets up to this size are compared pair by pair, larger ones block by block.
-SMALL_BUCKET, BLOCK = 64, 256
+SMALL_BUCKET, BLOCK = 64, 1_024
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -96,7 +96,7 @@ def links_within(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     rows, column = rows[order], column[order]
     _, column = np.unique(column, return_inverse=True)
     common = np.zeros((len(sets), len(sets)), np.float64)
-    width = 16_384
+    width = 4_096
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, [at, at + width])
         part = np.zeros((len(sets), width), np.float32)
