@@ -45,8 +45,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the digests of ids and of the decoded text."""
-    encoded = bpe.encode(docs, byte_bpe())
-    return bpe.decode(encoded, byte_bpe(), keep=("n_tokens", "ids")).select(
+    return bpe.encode(docs, byte_bpe(), decoded=True).select(
         "doc_id",
         "n_tokens",
         "ids",

@@ -100,8 +100,21 @@ def _name(number: int, shards: list[list[bytes]]) -> str:
     return f"{TaskContext.get().partitionId()}-{number}-{digest:08x}"
 
 
+def _text_of(ids: np.ndarray, pieces: list[bytes]) -> str:
+    """Ids joined to their pieces; ids outside the table yield nothing, bytes that are no UTF-8 become U+FFFD."""
+    if ids.size and ids.max() >= len(pieces):
+        ids = ids[ids < len(pieces)]
+    return b"".join([pieces[i] for i in ids.tolist()]).decode("utf-8", "replace")
+
+
 def encode(
-    docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", parts: int | None = None
+    docs: DataFrame,
+    tokenizer: str,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    parts: int | None = None,
+    decoded: bool = False,
 ) -> DataFrame:
     """Token ids of every text: key, n_tokens (long), ids (binary).
 
@@ -109,11 +122,14 @@ def encode(
     unsigned 32-bit integers. Special tokens are not added; their strings in a text
     are encoded as that token. One row per input row, repeated and null keys
     included; null and empty texts have no ids. Other columns are not carried.
+    With `decoded` the column decoded holds the ids' text as `decode` gives it, made
+    where the ids are put together, so that they need not be passed on once more.
     """
     spark = docs.sparkSession
     ship(spark)
     source = spark.sparkContext.broadcast(tokenizer_source(tokenizer))
-    codec(source.value)  # an unsupported file fails here, not in a task
+    own = codec(source.value)  # an unsupported file fails here, not in a task
+    pieces = spark.sparkContext.broadcast(own.pieces()) if decoded else None
     n_parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     key_type = rows.schema["key"].dataType.simpleString()
@@ -181,26 +197,29 @@ def encode(
         flat = np.concatenate([a[1] for a in answers])
         starts = np.cumsum(lengths) - lengths
         ends = np.cumsum(counts.astype(np.int64))
-        ids, totals, begin = [], [], 0
+        ids, totals, texts, begin = [], [], [], 0
         for end in ends.tolist():
             own = at[begin:end]
             size = lengths[own]
             shift = starts[own] - (np.cumsum(size) - size)
             took = np.repeat(shift, size) + np.arange(int(size.sum()))
-            ids.append(flat[took].tobytes())
+            own_ids = flat[took]
+            ids.append(own_ids.tobytes())
+            if decoded:
+                texts.append(_text_of(own_ids, pieces.value))
             totals.append(len(took))
             begin = end
         keys = order["keys"].slice(0, 1).combine_chunks().flatten()
-        return pa.Table.from_arrays(
-            [keys, pa.array(totals, pa.int64()), pa.array(ids, pa.binary())], names=[key, "n_tokens", "ids"]
-        )
+        columns = {key: keys, "n_tokens": pa.array(totals, pa.int64()), "ids": pa.array(ids, pa.binary())}
+        return pa.table(columns | ({"decoded": pa.array(texts, pa.string())} if decoded else {}))
 
     plain = "chunk string, part int, payload binary"
     placed = f"{plain}, keys array<{key_type}>"
     placed_schema = to_arrow_schema(StructType.fromDDL(placed))
     answered = rows.mapInArrow(ask, plain).repartition(n_parts, "part").mapInArrow(answer, plain)
     chunks = rows.mapInArrow(place, placed).unionByName(answered, allowMissingColumns=True)
-    return chunks.groupBy("chunk").applyInArrow(join_back, f"`{key}` {key_type}, n_tokens bigint, ids binary")
+    schema = f"`{key}` {key_type}, n_tokens bigint, ids binary" + ", decoded string" * decoded
+    return chunks.groupBy("chunk").applyInArrow(join_back, schema)
 
 
 def unpacked(ids) -> F.Column:
@@ -230,17 +249,8 @@ def decode(encoded: DataFrame, tokenizer: str, *, key: str = "doc_id", ids: str
 
     def run(batches):
         table = pieces.value
-        n = len(table)
         for *kept, packed in rows_of(batches, "_ids"):
-            texts = []
-            for data in packed:
-                if data is None:
-                    texts.append(None)
-                    continue
-                found = np.frombuffer(data, "<u4")
-                if found.size and found.max() >= n:
-                    found = found[found < n]
-                texts.append(b"".join([table[i] for i in found.tolist()]).decode("utf-8", "replace"))
+            texts = [None if data is None else _text_of(np.frombuffer(data, "<u4"), table) for data in packed]
             columns = [*kept, texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow

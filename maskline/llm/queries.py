@@ -128,8 +128,7 @@ def op8_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), byte_bpe())
-    return bpe.decode(encoded, byte_bpe(), keep=("n_tokens", "ids")).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), byte_bpe(), decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskline.llm.common import keep_rows, map_rows, rows_of, ship
+from maskline.llm.common import keep_rows, map_rows, rows_of, ship, staged
 
 SAMPLE_ROWS = 100_000
 BUCKETS = 1 << 18
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     """Learn from `labels` (key, label 0/1) and the texts they name.
 
     Null keys and null labels are left out; of contradicting labels the higher counts.
-    Two passes over the labelled texts. What reaches the driver is bounded by BUCKETS
+    Two passes over the labelled texts; the passages' scores are staged. What reaches the driver is bounded by BUCKETS
     and GRID.
     """
     spark = docs.sparkSession
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
             tops.append(max(scores, default=0.0))
         return marks, sizes, tops, rest
 
-    passages = map_rows(sample, best, "label int, n bigint, top double, scores array<double>")
+    passages = staged(map_rows(sample, best, "label int, n bigint, top double, scores array<double>"), "passages")
     law = (
         passages.where("label = 0 and n > 0")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum(F.col("n") * F.exp(-F.lit(rate) * F.col("top"))).alias("mass"))
@@ -218,14 +218,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     )
     size = law["texts"] / law["mass"] if law["texts"] and law["mass"] else 1.0
 
-    def cells(marks, sizes, tops, rest):
+    def cells(marks, sizes, rest):
         return marks, [_cell(evidence(s, n, rate, size)) for s, n in zip(rest, sizes)]
 
     histogram = np.zeros((2, GRID[2]))
     placed = map_rows(
-        passages.withColumn("text", F.lit("")).select("label", "n", "text", "scores"),
+        passages.select("label", "n", "scores"),
         cells,
         "label int, cell int",
+        "scores",
     )
     for row in placed.groupBy("label", "cell").count().collect():
         histogram[row["label"], row["cell"]] = row["count"]
