@@ -85,24 +85,31 @@ def _digest(members: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None
 
 
-def links_within(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Boolean matrix: which sets overlap by num/den or more."""
+def linked_pairs(sets: list[np.ndarray], groups: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs i < j of different groups whose sets overlap by num/den or more."""
+    n = len(sets)
     sizes = np.array([len(x) for x in sets], np.int64)
-    rows = np.repeat(np.arange(len(sets)), sizes)
+    rows = np.repeat(np.arange(n), sizes)
     _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     keep = seen[column] > 1
     rows, column = rows[keep], column[keep]
     order = np.argsort(column, kind="stable")
-    rows, column = rows[order], column[order]
-    _, column = np.unique(column, return_inverse=True)
-    common = np.zeros((len(sets), len(sets)), np.float64)
-    width = 4_096
+    rows, column = rows[order], np.unique(column[order], return_inverse=True)[1]
+    common = np.zeros((n, n), np.float32)  # counts below 2^24 are exact
+    width = 2_048
+    part = np.zeros((n, width), np.float32)
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, [at, at + width])
-        part = np.zeros((len(sets), width), np.float32)
+        part[:] = 0
         part[rows[lo:hi], column[lo:hi] - at] = 1
         common += part @ part.T
-    return den * common >= num * (sizes[:, None] + sizes[None, :] - common)
+    found = []
+    for lo in range(0, n, 128):
+        both = common[lo : lo + 128].astype(np.float64)
+        link = den * both >= num * (sizes[lo : lo + 128, None] + sizes[None, :] - both)
+        link &= groups[lo : lo + 128, None] != groups[None, :]
+        found += [(i + lo, j) for i, j in zip(*(x.tolist() for x in np.nonzero(link))) if i + lo < j]
+    return found
 
 
 def _block_links(num: int, den: int):
@@ -112,10 +119,9 @@ def _block_links(num: int, den: int):
         nodes, labels, sets = zip(*members)
         if len(set(labels)) < 2:
             return []
-        link = links_within(sets, num, den)
-        names = np.unique(np.array(labels, object), return_inverse=True)[1]
-        link &= names[:, None] != names[None, :]
-        found = zip(*np.nonzero(np.triu(link, 1)))
+        number: dict = {}
+        groups = np.array([number.setdefault(x, len(number)) for x in labels])
+        found = linked_pairs(sets, groups, num, den)
         return [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y])) for x, y in found]
 
     def run(batches):
