@@ -7,27 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this many rows on. At most HOT_KEYS keys of at most
-# HOT_KEY_BYTES each are broadcast, about half a megabyte; every other key
-# takes the plain shuffle, so nothing is lost when there are more.
+# A key with this many rows or more is spread, one part for each so many rows.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-HOT_KEY_BYTES = 512
-SALTS = 256
 # Largest table handed to a broadcast, counted in rows and in bytes of text.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
-    width = sum((F.octet_length(F.col(c).cast("string")) for c in on), F.lit(0))
+    """Every key with `hot_rows` rows or more, and in how many parts it is dealt."""
+    limit = HOT_ROWS if hot_rows is None else hot_rows
     return (
         df.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") >= (HOT_ROWS if hot_rows is None else hot_rows)) & (width <= HOT_KEY_BYTES))
-        .orderBy(F.desc("_n"), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        .where(F.col("_n") >= limit)
+        .select(*on, (F.ceil(F.col("_n") / limit) + 1).cast("int").alias("_parts"))
     )
 
 
@@ -43,26 +37,23 @@ def salted_join(
 ) -> DataFrame:
     """Join a skewed `left` with `right` on `on`.
 
-    Rows of a hot key are spread by a hash of the `spread` columns over SALTS
-    partitions, and the right rows of that key are repeated for each. A left
-    side known to be smaller than one hot key is joined directly.
+    Rows of a hot key are dealt by a hash of the `spread` columns into parts of
+    about `hot_rows` rows, and the right rows of that key are repeated for each
+    part. Any number of keys of any width may be hot; whether their table is
+    broadcast is left to Spark. A left side known to be smaller than one hot key
+    is joined directly.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
     on = list(on)
     if n_left is not None and n_left < limit:
         return left.join(right, on, how)
-    hot = F.broadcast(hot_keys(left, on, limit))
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
-    )
+    hot = hot_keys(left, on, limit)
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(1))).cast("int")
+    salted = left.join(hot, on, "left").withColumn("_salt", salt)
     repeated = right.join(hot, on, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        ),
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
     )
-    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    return salted.drop("_parts").join(repeated.drop("_parts"), [*on, "_salt"], how).drop("_salt")
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int, n_bytes: int = 0) -> tuple[DataFrame, bool]:

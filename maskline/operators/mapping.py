@@ -10,8 +10,6 @@ MAPPING_SCHEMA = "scope string, pii_type string, ordinal bigint, token string, v
 MAPPING_COLUMNS = ["scope", "pii_type", "ordinal", "token", "value"]
 VALUE_KEY = ["scope", "pii_type", "value"]
 
-# Values per (scope, type) that one task may number on its own.
-SINGLE_TASK_VALUES = 1_000_000
 DIGEST_CHARS = 3
 
 
@@ -22,10 +20,10 @@ def token_text(pii_type: Column, ordinal: Column) -> Column:
 def parse_tokens(tokens: DataFrame, column: str = "token") -> DataFrame:
     """(scope, pii_type, ordinal) of well-formed token strings.
 
-    Longer numbers than an allocation can reach, and spellings an allocation
-    never produces, are no obstacle and left out.
+    Numbers beyond a bigint, which an allocation cannot reach (it would fail, not wrap),
+    and spellings an allocation never produces are no obstacle and left out.
     """
-    body = r"^\[([A-Z_]+)_(\d{1,15})\]$"
+    body = r"^\[([A-Z_]+)_(\d+)\]$"
     return (
         tokens.where(F.rlike(column, F.lit(body)))
         .select(

@@ -22,7 +22,7 @@ from maskline.functions import sql as Q
 from maskline.functions.leaves import has_text, leaves, rebuilt
 from maskline.operators.detect import BOOST, WINDOW, as_column
 from maskline.operators.lookup import salted_join
-from maskline.operators.mapping import DIGEST_CHARS, MAPPING_COLUMNS, SINGLE_TASK_VALUES, parse_tokens
+from maskline.operators.mapping import MAPPING_COLUMNS, parse_tokens
 from maskline.operators.mapping import allocate as new_entries
 from maskline.sources.staging import stage
 
@@ -67,6 +67,27 @@ def _any_leaf(columns, test: Callable[[str], str]) -> Column:
     return F.expr(f"coalesce({' or '.join(tests)}, false)")
 
 
+ROW = ["_row_a", "_row_b"]
+
+
+def _with_row(df: DataFrame, key: Sequence[str], columns, scope: Column) -> DataFrame:
+    """Add what identifies a row's work: 128 bits of its key, its scope and its strings.
+
+    Keys may be null or repeated: rows that agree in all of it have the same spans and
+    the same result.
+    """
+    strings = F.expr(Q.name(columns[0][0]) if len(columns) == 1 and _is_text(columns[0][1]) else _all_leaves(columns))
+    parts = [*[F.col(Q.name(k)) for k in key], *[F.col(Q.name(k)).isNull() for k in key], scope, strings]
+    return df.withColumns({name: F.xxhash64(F.lit(i), *parts) for i, name in enumerate(ROW)})
+
+
+def _checked(df: DataFrame, names: Iterable[str]) -> None:
+    """Raise for a column that may hold strings out of reach."""
+    for column, kind, _ in _columns(df, names):
+        if isinstance(kind, T.VariantType):
+            raise ValueError(f"column {column!r}: VARIANT is not searched; parse it into a typed column first")
+
+
 def scan(
     df: DataFrame,
     rows: Sequence[Detector],
@@ -134,8 +155,9 @@ def scan(
     spans = f"concat({', '.join([S.empty(SPAN_TYPE), *parts])})"
     if known is None and not typed and texts:
         df = df.where(_any_leaf(texts, lambda t: f"({S.gated(t, rows)} or contains({t}, '['))"))
-    return df.withColumns({"_lang": as_column(lang), "_scope": scope}).select(
+    return _with_row(df, key, cells, scope).withColumns({"_lang": as_column(lang), "_scope": scope}).select(
         *key,
+        *ROW,
         "_scope",
         F.expr(f"cast({spans} as {SPAN_TYPE})").alias("_spans"),
         F.expr(seen).alias("_seen"),
@@ -148,13 +170,15 @@ def _put_back(
     columns,
     spans: DataFrame,
     may_change: Column | None,
+    scope: Column,
+    hashed,
 ) -> DataFrame:
-    """Rewrite the columns of `df` by `spans` (key, path, start, end, token).
+    """Rewrite the columns of `df` by `spans` (row, path, start, end, token).
 
     Rows that cannot change never meet the join: their texts are not shuffled.
     """
-    per_row = spans.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("path", "start", "end", "token"))).alias("_new")
+    per_row = spans.groupBy(*ROW).agg(
+        F.array_sort(F.collect_set(F.struct("path", "start", "end", "token"))).alias("_new")
     )
     plain = len(columns) == 1 and _is_text(columns[0][1])
 
@@ -176,7 +200,7 @@ def _put_back(
         for c in df.columns
     ]
     open_rows = df if may_change is None else df.where(may_change)
-    done = open_rows.join(per_row, list(key), "left").select(*output)
+    done = _with_row(open_rows, key, hashed, scope).join(per_row, ROW, "left").select(*output)
     if may_change is None:
         return done
     return done.unionByName(df.where(~may_change))
@@ -203,7 +227,8 @@ def tokenize(
 ) -> Tokenized:
     """Replace every identifier in `df` by its token.
 
-    `key` identifies a row. `free_text` columns are searched, at any nesting
+    `key` names a row; it may be null or repeated, rows are told apart by their texts too.
+    A null scope is an error. `free_text` columns are searched, at any nesting
     depth; each string cell of a `typed` column gets a token as a whole. The
     `known` column holds array<struct<seq,value,pii_type>> of literal values to
     replace before detection. `scope` separates mappings (default: one for
@@ -217,7 +242,8 @@ def tokenize(
     if entities is not None:
         entities = list(entities)
         only(rows, entities)
-    scope = F.lit(CORPUS) if scope is None else scope
+    _checked(df, [*typed, *free_text])
+    scope = F.lit(CORPUS) if scope is None else F.coalesce(scope, F.raise_error("null scope").cast("string"))
     found, n_spans = stage(
         scan(
             df, rows, key=key, free_text=free_text, typed=typed, lang=lang, scope=scope,
@@ -226,7 +252,7 @@ def tokenize(
         "spans",
         F.size("_spans"),
     )
-    spans = found.select(*key, F.col("_scope").alias("scope"), F.inline("_spans"))
+    spans = found.select(*key, *ROW, F.col("_scope").alias("scope"), F.inline("_spans"))
     if entities is not None:
         whole = [F.lit(str(i)) for i in range(len(typed))]
         spans = spans.where(F.col("entity").isin(entities) | F.col("path").isin(*whole) if whole
@@ -240,7 +266,6 @@ def tokenize(
             mapping,
             reserved=reserved,
             secret=secret,
-            digest_chars=0 if n_spans <= SINGLE_TASK_VALUES else DIGEST_CHARS,
         )
         full = new if mapping is None else mapping.select(*MAPPING_COLUMNS).unionByName(new)
     elif mapping is None:
@@ -251,10 +276,10 @@ def tokenize(
     if visible is not None:
         shown = spans.join(visible, list(keep_visible_on), "left_anti")
     replaced = salted_join(
-        shown.select(*key, "scope", "path", "start", "end", "pii_type", "value"),
+        shown.select(*ROW, "scope", "path", "start", "end", "pii_type", "value"),
         full.select("scope", "pii_type", "value", "token"),
         ["scope", "pii_type", "value"],
-        spread=[*key, "path", "start"],
+        spread=["_row_a", "path", "start"],
         how="inner" if allocate else "left",
         n_left=n_spans,
     ).withColumn(
@@ -267,7 +292,8 @@ def tokenize(
     may_change = None
     if known is None and not typed and all(d.hint for d in rows):
         may_change = _any_leaf(columns, lambda text: S.hinted(text, rows))
-    return Tokenized(_put_back(df, key, columns, replaced, may_change), full, spans, new)
+    hashed = _columns(df, [*typed, *free_text])
+    return Tokenized(_put_back(df, key, columns, replaced, may_change, scope, hashed), full, spans.drop(*ROW), new)
 
 
 def restore(
@@ -283,8 +309,10 @@ def restore(
     Covers every column with strings in it unless `columns` names some.
     """
     key = list(key)
-    scope = F.lit(CORPUS) if scope is None else scope
+    scope = F.lit(CORPUS) if scope is None else F.coalesce(scope, F.raise_error("null scope").cast("string"))
     names = columns if columns is not None else [n for n in df.columns if n not in key]
+    if columns is not None:
+        _checked(df, names)
     cells = [c for c in _columns(df, names) if has_text(c[1])]
     if not cells:
         return df
@@ -298,17 +326,17 @@ def restore(
         ),
     )
     found, n_tokens = stage(
-        df.select(*key, scope.alias("scope"), F.expr(f"inline(flatten({located}))")), "tokens"
+        _with_row(df, key, cells, scope).select(*ROW, scope.alias("scope"), F.expr(f"inline(flatten({located}))")), "tokens"
     )
     values = salted_join(
         found,
         mapping.select("scope", "token", "value"),
         ["scope", "token"],
-        spread=[*key, "path", "start"],
+        spread=["_row_a", "path", "start"],
         n_left=n_tokens,
-    ).select(*key, "path", "start", "end", F.col("value").alias("token"))
+    ).select(*ROW, "path", "start", "end", F.col("value").alias("token"))
     may_change = _any_leaf(cells, S.mentions_token)
-    return _put_back(df, key, cells, values, may_change)
+    return _put_back(df, key, cells, values, may_change, scope, cells)
 
 
 def round_trip_differences(

@@ -26,8 +26,8 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet", schema=N
 
 
 def read_payloads(spark: SparkSession, path: str, schema) -> DataFrame:
-    """JSON payloads, one object per line, with a declared schema."""
-    return spark.read.schema(schema).json(path)
+    """JSON payloads, one object per line, with a declared schema; a malformed line is an error."""
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
 def write_documents(docs: DataFrame, path: str, format: str = "parquet") -> None:

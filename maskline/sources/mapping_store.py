@@ -36,9 +36,12 @@ def export_json(mapping: DataFrame, part_size: int = JSON_PART) -> DataFrame:
 
 
 def import_json(exported: DataFrame) -> DataFrame:
-    """The mapping behind `export_json` rows, or any (scope, mapping_json)."""
+    """The mapping behind `export_json` rows (all parts), or any (scope, mapping_json).
+
+    Text that is no such JSON is an error, not an empty mapping.
+    """
     return (
-        exported.select("scope", F.from_json("mapping_json", ENTRIES).alias("m"))
+        exported.select("scope", F.from_json("mapping_json", ENTRIES, {"mode": "FAILFAST"}).alias("m"))
         .select("scope", F.inline("m.entries"))
         .select(
             "scope",

@@ -198,13 +198,11 @@ def test_folder_of_texts(spark, tmp_path):
 def test_paths_for_large_corpora_give_the_same_result(docs, monkeypatch):
     """Salted look-ups and bucketed numbering, forced on a small corpus with a hot value."""
     from maskline.operators import lookup
-    from maskline.operators import tokenize as module
 
     source = docs(*[f"hot@example.pl i osoba{i % 37}@example.pl, 44051401359" for i in range(200)])
     plain = tokenize(source, ROWS)
     expected, entries = texts(plain.table), set(plain.mapping.collect())
     monkeypatch.setattr(lookup, "HOT_ROWS", 50)
-    monkeypatch.setattr(module, "SINGLE_TASK_VALUES", 10)
     large = tokenize(source, ROWS)
     assert "_salt" in large.table._jdf.queryExecution().analyzed().toString()
     assert texts(large.table) == expected and set(large.mapping.collect()) == entries
@@ -227,3 +225,26 @@ def test_known_values_without_a_broadcast(docs, spark, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(lookup, "HOT_ROWS", 50)
     assert run() == small and small[0] == "[PERSON_001] i Ewa 0".replace("001", small[0][8:11])
+
+
+def test_null_and_repeated_keys(spark):
+    rows = [(None, "pl", "jan@example.pl"), (1, "pl", "x jan@example.pl"), (1, "pl", "text eva@example.pl"), (1, "pl", "text eva@example.pl")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    done = tokenize(docs, C.detectors(), lang="lang")
+    texts = [r["text"] for r in done.table.collect()]
+    assert len(texts) == 4 and not any("@" in t for t in texts)
+    assert sum(t.startswith("text [EMAIL_") for t in texts) == 2
+    back = restore(done.table, done.mapping, columns=["text"])
+    assert sorted(r["text"] for r in back.collect()) == sorted(r[2] for r in rows)
+
+
+def test_null_scope_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "pl", None, "jan@example.pl")], "doc_id bigint, lang string, s string, text string")
+    with pytest.raises(Exception, match="null scope"):
+        tokenize(docs, C.detectors(), scope=F.col("s")).table.collect()
+
+
+def test_long_literal_is_not_given_away_again(docs):
+    done = tokenize(docs("[EMAIL_999999999999999] [EMAIL_1000000000000000] jan@example.pl"), C.detectors())
+    assert done.mapping.collect()[0]["token"] == "[EMAIL_1000000000000001]"
+    assert done.table.collect()[0]["text"].endswith("[EMAIL_1000000000000000] [EMAIL_1000000000000001]")
