@@ -24,6 +24,8 @@ TOKEN_PATTERN = r"\[[A-Z_]+_\d+\]"
 # with SUBSTITUTE in its place, and their values are cut from the source.
 MARK = "\ue001"
 SUBSTITUTE = "\ue002"
+# Type of the tokens that stand for token strings a source text already holds.
+LITERAL = "LITERAL"
 # A private-use character: neither letter nor digit, so word edges hold beside it.
 MASK = "\ue000"
 
@@ -96,6 +98,35 @@ def tokens_in(text: str) -> str:
     return f"if(contains({text}, '['), {placed}, {empty(PLACE_TYPE)})"
 
 
+def literals(text: str) -> str:
+    """Token strings of a source text as findings that win every overlap."""
+    return Q.transform(
+        tokens_in(text),
+        lambda t: Q.struct(
+            start=f"{t}.start",
+            end=f"{t}.end",
+            rank="-1",
+            detector="'literal'",
+            entity=Q.text(LITERAL),
+            pii_type=Q.text(LITERAL),
+            value=f"{t}.value",
+            pattern_score="double(2)",
+            score="double(2)",
+        ),
+    )
+
+
+def masked(text: str, spans: str) -> str:
+    """The text with the spans blanked out, at the same length."""
+    blanks = Q.transform(
+        spans,
+        lambda s: Q.struct(
+            start=f"{s}.start", end=f"{s}.end", token=f"repeat({Q.text(MASK)}, {s}.end - {s}.start)"
+        ),
+    )
+    return f"if(size({spans}) = 0, {text}, {rewrite(text, blanks)})"
+
+
 def mentions_token(text: str) -> str:
     return f"(contains({text}, '[') and {text} rlike {Q.text(TOKEN_PATTERN)})"
 
@@ -165,6 +196,8 @@ def candidates(text: str, lang: str, rows: Sequence[Detector]) -> str:
     def search(clean: str) -> str:
         def hit(rank: int, d: Detector, langs: list[str]) -> str:
             spoken = f"{lang} in ({', '.join(Q.text(x) for x in langs)})"
+            if d.hint[1:]:
+                spoken += f" and {_hints(clean, d.hint[1:])}"
             parts = f"if({spoken}, {_parts(clean, Q.text(d.regex))}, array(''))"
             return Q.struct(rank=str(rank), parts=parts)
 
@@ -265,9 +298,14 @@ def findings(
     def scored_all(items: str) -> str:
         if boost == 0 or not any(d.context for d in ranked):
             return Q.transform(items, lambda f: scored(None, f))
-        return Q.let(
+        words = dict.fromkeys(w.lower() for d in ranked for w in d.context)
+        in_context = Q.let(
+            f"lower({text})", lambda low: f"({' or '.join(f'contains({low}, {Q.text(w)})' for w in words)})"
+        )
+        near = Q.let(
             chunks_of(text), lambda chunks: Q.transform(items, lambda f: scored(chunks, f))
         )
+        return f"if({in_context}, {near}, {Q.transform(items, lambda f: scored(None, f))})"
 
     return Q.let(accepted, lambda a: f"if(size({a}) = 0, {empty(FINDING_TYPE)}, {scored_all(a)})")
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskline.catalog import ENTITY_OF_TYPE, TYPE_OF_ENTITY, Detector, only
+from maskline.catalog import CROSS_LANGUAGE, ENTITY_OF_TYPE, TYPE_OF_ENTITY, Detector, only
 from maskline.functions import spans as S
 from maskline.functions import sql as Q
 
@@ -29,14 +30,30 @@ def _applicable(rows: Iterable[Detector], entities, min_score, boost) -> list[De
     return rows
 
 
-def check_languages(docs: DataFrame, rows: Iterable[Detector], lang: Column | str = "lang") -> None:
-    """Raise when a document's language has no catalog row."""
+# Language code of the texts whose own language has no catalog row.
+ELSEWHERE = ""
+
+
+def routed(
+    lang: Column | str, rows: Iterable[Detector], unknown_lang: str
+) -> tuple[Column, Column, list[Detector]]:
+    """(language to search with, whether the row must be looked at, detectors).
+
+    A language without catalog rows, null included, is an `error`; or such texts are
+    searched with the detectors of every language (`cross`); or left as they are (`skip`).
+    """
+    lang, rows = as_column(lang), list(rows)
+    if unknown_lang not in ("error", "cross", "skip"):
+        raise ValueError(f"unknown_lang must be error, cross or skip, not {unknown_lang!r}")
+    if unknown_lang == "skip" or not rows:
+        return lang, F.lit(False), rows
     known = sorted({d.lang for d in rows})
-    other = (
-        docs.select(as_column(lang).alias("lang")).where(~F.col("lang").isin(known)).limit(1).collect()
-    )
-    if other:
-        raise ValueError(f"no detectors for language {other[0]['lang']!r}; known: {known}")
+    strange = ~F.coalesce(lang.isin(known), F.lit(False))
+    if unknown_lang == "cross":
+        anywhere = {d.name: replace(d, lang=ELSEWHERE) for d in rows if d.name in CROSS_LANGUAGE}
+        return F.when(strange, F.lit(ELSEWHERE)).otherwise(lang), F.lit(False), [*rows, *anywhere.values()]
+    message = F.concat(F.lit("no detectors for language "), F.coalesce(lang, F.lit("null")), F.lit(f"; known: {known}"))
+    return F.when(strange, F.raise_error(message).cast("string")).otherwise(lang), strange, rows
 
 
 def detect(
@@ -51,12 +68,15 @@ def detect(
     boost: float = BOOST,
     window: int = WINDOW,
     resolve: bool = False,
+    unknown_lang: str = "error",
 ) -> DataFrame:
     """One row per finding: key, detector, entity, pii_type, start, end, value, scores.
 
-    `lang` is a column name or a column such as `lit("pl")`. With `resolve`,
+    `lang` is a column name or a column such as `lit("pl")`; `unknown_lang` says what
+    happens to texts in a language without detectors (see `routed`). With `resolve`,
     overlapping findings are settled first.
     """
+    spoken, strange, rows = routed(lang, rows, unknown_lang)
     rows = _applicable(rows, entities, min_score, boost)
     found = S.findings(Q.name(text), "_lang", rows, boost=boost, window=window)
     if min_score is not None:
@@ -64,8 +84,8 @@ def detect(
     if resolve:
         found = S.untangle(found)
     return (
-        docs.where(S.gated(Q.name(text), rows))
-        .withColumn("_lang", as_column(lang))
+        docs.where(F.expr(S.gated(Q.name(text), rows)) | strange)
+        .withColumn("_lang", spoken)
         .select(*key, F.expr(f"inline({found})"))
         .select(*key, "detector", "entity", "pii_type", "start", "end", "value", "pattern_score", "score")
     )
@@ -78,14 +98,15 @@ def look_alikes(
     key: Sequence[str] = ("doc_id",),
     text: str = "text",
     lang: Column | str = "lang",
+    unknown_lang: str = "error",
 ) -> DataFrame:
     """Every shape match with the outcome of its checksum in `valid`."""
-    rows = list(rows)
+    spoken, strange, rows = routed(lang, rows, unknown_lang)
     names = [d.name for d, _ in S.merged(rows)]
     found = S.candidates(Q.name(text), "_lang", rows)
     return (
-        docs.where(S.gated(Q.name(text), rows))
-        .withColumn("_lang", as_column(lang))
+        docs.where(F.expr(S.gated(Q.name(text), rows)) | strange)
+        .withColumn("_lang", spoken)
         .select(*key, F.expr(f"inline({found})"))
         .withColumn("detector", F.get(F.array(*[F.lit(n) for n in names]), F.col("rank")))
         .select(*key, "detector", "start", "end", "value", "valid")

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from maskline.functions import sql as Q
-from maskline.operators.lookup import broadcast_if_small, salted_join
+from maskline.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, salted_join
 from maskline.sources.staging import stage
 
 WORD_GAP = r"[^\p{L}\p{N}_]+"
 
 # Width of a term row besides the term itself, for the size check of a broadcast.
 ROW_BYTES = 64
+# Cells of a block of documents x queries, and of their shared terms, held at once.
+BLOCK_CELLS = 2_000_000
 
 # Fixed value: the wording of the prompt.
 PROMPT = "Pytanie: {question}\n\nKontekst:\n{context}\n\nOdpowiedź:"
@@ -34,7 +41,7 @@ def bag_of_words(docs: DataFrame, *, key: Sequence[str] = ("doc_id",), text: str
     )
 
 
-def _norm(text: str) -> Column:
+def _norm(words: str) -> Column:
     """Length of the count vector, within the row: the r-th copy of a word adds 2r - 1."""
 
     def step(acc: str, word: str) -> str:
@@ -42,14 +49,26 @@ def _norm(text: str) -> Column:
         return Q.struct(word=word, copies=copies, total=f"{acc}.total + 2 * {copies} - 1")
 
     start = Q.struct(word="''", copies="0L", total="0L")
-    return F.expr(f"sqrt({Q.aggregate(f'array_sort({_words(text)})', start, step)}.total)")
+    return F.expr(f"sqrt({Q.aggregate(f'array_sort({words})', start, step)}.total)")
+
+
+def _split(texts: DataFrame, key: str, text: str, norm: str) -> DataFrame:
+    """(key, norm, _words), one row per text, which is split once."""
+    return texts.select(key, F.expr(_words(text)).alias("_words")).select(key, _norm("_words").alias(norm), "_words")
 
 
 def _occurrences(texts: DataFrame, key: str, text: str, norm: str) -> DataFrame:
     """(key, norm, term), one row per word. The norm is computed below the explode, once per text."""
-    return texts.select(
-        key, _norm(text).alias(norm), F.expr(_words(text)).alias("_words")
-    ).select(key, norm, F.explode("_words").alias("term"))
+    return _split(texts, key, text, norm).select(key, norm, F.explode("_words").alias("term"))
+
+
+def _query_terms(queries: DataFrame, query_id: str, text: str) -> tuple[DataFrame, int]:
+    terms = (
+        _occurrences(queries, query_id, text, "_query_norm")
+        .groupBy(query_id, "_query_norm", "term")
+        .agg(F.count(F.lit(1)).alias("_query_tf"))
+    )
+    return stage(terms, "query-terms", F.octet_length("term") + ROW_BYTES)
 
 
 def cosine_scores(
@@ -65,12 +84,11 @@ def cosine_scores(
     A document's words meet the query words where they are read: the dot
     product is summed before the shuffle, and norms never leave the row.
     """
-    terms = (
-        _occurrences(queries, query_id, text, "_query_norm")
-        .groupBy(query_id, "_query_norm", "term")
-        .agg(F.count(F.lit(1)).alias("_query_tf"))
-    )
-    terms, n_bytes = stage(terms, "query-terms", F.octet_length("term") + ROW_BYTES)
+    terms, n_bytes = _query_terms(queries, query_id, text)
+    return _all_scores(terms, n_bytes, docs, query_id, doc_id, text)
+
+
+def _all_scores(terms: DataFrame, n_bytes: int, docs: DataFrame, query_id: str, doc_id: str, text: str) -> DataFrame:
     words = _occurrences(docs, doc_id, text, "_norm")
     terms, small = broadcast_if_small(terms, n_bytes // ROW_BYTES, n_bytes)
     if small:
@@ -84,6 +102,116 @@ def cosine_scores(
     )
 
 
+def leading_scores(
+    queries: DataFrame,
+    docs: DataFrame,
+    k: int,
+    *,
+    query_id: str = "query_id",
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """Rows of `cosine_scores` among which are the k best of every query, for `top_k`.
+
+    Documents are scored where they are read against the query terms, whose size is
+    checked, and a partition hands on its own k best per query only: neither texts nor
+    (query, document) pairs are shuffled. Beyond that size all pairs are scored by joins.
+    """
+    terms, n_bytes = _query_terms(queries, query_id, text)
+    if n_bytes > min(BROADCAST_BYTES, BROADCAST_ROWS * ROW_BYTES):
+        return _all_scores(terms, n_bytes, docs, query_id, doc_id, text)
+    schema = T.StructType(
+        [
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(doc_id, docs.schema[doc_id].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    known = docs.sparkSession.sparkContext.broadcast(_Asked(terms.select(query_id, "_query_norm", "term", "_query_tf").toArrow()))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = known.value
+        best = None
+        for batch in batches:
+            best = asked.better(best, batch, k)
+        if best is not None and len(best):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    asked.ids.take(pa.array(best["query"].to_numpy())),
+                    pa.array(best["doc"].tolist(), type=asked.doc_type),
+                    pa.array(best["score"].to_numpy()),
+                ],
+                names=[query_id, doc_id, "score"],
+            )
+
+    return _split(docs, doc_id, text, "_norm").mapInArrow(score, schema)
+
+
+class _Asked:
+    """Query terms as arrays: for each term the queries that hold it, and how often."""
+
+    doc_type: pa.DataType | None = None
+
+    def __init__(self, terms: pa.Table) -> None:
+        ids, norms, words, counts = (c.combine_chunks() for c in terms.columns)
+        coded = ids.dictionary_encode()
+        self.ids = coded.dictionary
+        query = coded.indices.to_numpy(zero_copy_only=False)
+        self.norms = np.ones(len(self.ids))
+        self.norms[query] = norms.to_numpy(zero_copy_only=False)
+        coded = words.dictionary_encode()
+        self.words = coded.dictionary
+        term = coded.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(term, kind="stable")
+        self.query = query[order]
+        self.count = counts.to_numpy(zero_copy_only=False)[order].astype("float64")
+        self.size = np.bincount(term, minlength=len(self.words))
+        self.first = np.cumsum(self.size) - self.size
+
+    def better(self, best: pd.DataFrame | None, batch: pa.RecordBatch, k: int) -> pd.DataFrame | None:
+        """The k best rows (query, doc, score) of each query among `best` and the batch."""
+        ids, norms, lists = batch.columns
+        self.doc_type = ids.type
+        if not len(self.ids) or not len(ids):
+            return best
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        found = pc.index_in(lists.flatten(), value_set=self.words)
+        hit = pc.is_valid(found).to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.arange(len(ids)), lengths)[hit]
+        term = found.drop_null().to_numpy(zero_copy_only=False).astype("int64")
+        pairs, copies = np.unique(doc * len(self.words) + term, return_counts=True)
+        doc, term = np.divmod(pairs, len(self.words))
+        norms = norms.to_numpy(zero_copy_only=False)
+        names = pd.Series(ids.to_pandas(integer_object_nulls=True))
+        n_queries = len(self.ids)
+        step = max(1, BLOCK_CELLS // max(n_queries, len(self.query)))
+        for left in range(0, len(ids), step):
+            right = min(left + step, len(ids))
+            a, b = np.searchsorted(doc, [left, right])
+            if a == b:
+                continue
+            size = self.size[term[a:b]]
+            at = np.repeat(self.first[term[a:b]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            cell = np.repeat(doc[a:b] - left, size) * n_queries + self.query[at]
+            dots = np.bincount(cell, np.repeat(copies[a:b], size) * self.count[at], (right - left) * n_queries)
+            dots = dots.reshape(right - left, n_queries)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                scores = dots / (self.norms * norms[left:right, None])
+            least = np.zeros(n_queries)
+            if best is not None:
+                full = best.groupby("query")["score"].agg(["size", "min"])
+                full = full[full["size"] >= k]
+                least[full.index.to_numpy()] = full["min"].to_numpy()
+            row, query = np.nonzero((dots > 0) & (scores >= least))
+            more = pd.DataFrame(
+                {"query": query, "doc": names.iloc[row + left].to_numpy(), "score": scores[row, query]}
+            )
+            both = more if best is None else pd.concat([best, more], ignore_index=True)
+            both = both.sort_values(["query", "score", "doc"], ascending=[True, False, True], na_position="first")
+            best = both[both.groupby("query").cumcount() < k]
+        return best
+
+
 def top_k(
     scores: DataFrame,
     k: int = 2,

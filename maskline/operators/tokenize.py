@@ -20,7 +20,7 @@ from maskline.catalog import Detector, only
 from maskline.functions import spans as S
 from maskline.functions import sql as Q
 from maskline.functions.leaves import has_text, leaves, rebuilt
-from maskline.operators.detect import BOOST, WINDOW, as_column
+from maskline.operators.detect import BOOST, WINDOW, routed
 from maskline.operators.lookup import salted_join
 from maskline.operators.mapping import MAPPING_COLUMNS, parse_tokens
 from maskline.operators.mapping import allocate as new_entries
@@ -98,6 +98,10 @@ def scan(
     lang: Column | str,
     scope: Column,
     known: str | None = None,
+    known_first: bool = True,
+    escape: bool = True,
+    min_score: float | None = None,
+    unknown_lang: str = "error",
     boost: float = BOOST,
     window: int = WINDOW,
 ) -> DataFrame:
@@ -107,13 +111,24 @@ def scan(
     is no filter on the result: Spark would push it down and search twice.
     """
     cells = _columns(df, [*typed, *free_text])
+    spoken, strange, rows = routed(lang, rows, unknown_lang)
 
     def detected(text: str) -> str:
-        return S.findings(text, "_lang", rows, boost=boost, window=window)
+        found = S.findings(text, "_lang", rows, boost=boost, window=window)
+        if min_score is not None:
+            found = Q.keep(found, lambda f: f"{f}.score >= double({min_score!r})")
+        return f"concat({found}, {S.literals(text)})" if escape else found
 
     def of_text(text: str) -> str:
         if known is None:
             return S.untangle(detected(text))
+        if not known_first:
+            return Q.let(
+                S.untangle(detected(text)),
+                lambda d: Q.let(
+                    S.mask_known(S.masked(text, d), Q.name(known)), lambda m: f"array_sort(concat({d}, {m}.spans))"
+                ),
+            )
         return Q.let(
             S.mask_known(text, Q.name(known)),
             lambda m: S.untangle(f"concat({m}.spans, {detected(f'{m}.text')})"),
@@ -136,11 +151,12 @@ def scan(
     texts = [c for c in cells if c[0] not in typed]
     if texts:
         parts.append(f"flatten({Q.transform(_all_leaves(texts), of_leaf)})")
-        present = Q.transform(
-            _all_leaves(texts),
-            lambda leaf: Q.transform(S.tokens_in(f"{leaf}.text"), lambda t: f"{t}.value"),
-        )
-        seen = f"array_distinct(flatten({present}))"
+        if not escape:
+            present = Q.transform(
+                _all_leaves(texts),
+                lambda leaf: Q.transform(S.tokens_in(f"{leaf}.text"), lambda t: f"{t}.value"),
+            )
+            seen = f"array_distinct(flatten({present}))"
     for column, kind, path in cells:
         if column in typed and _is_text(kind):
             cell = Q.struct(
@@ -154,8 +170,8 @@ def scan(
             parts.append(f"if({Q.name(column)} != '', array({cell}), {S.empty(SPAN_TYPE)})")
     spans = f"concat({', '.join([S.empty(SPAN_TYPE), *parts])})"
     if known is None and not typed and texts:
-        df = df.where(_any_leaf(texts, lambda t: f"({S.gated(t, rows)} or contains({t}, '['))"))
-    return _with_row(df, key, cells, scope).withColumns({"_lang": as_column(lang), "_scope": scope}).select(
+        df = df.where(_any_leaf(texts, lambda t: f"({S.gated(t, rows)} or contains({t}, '['))") | strange)
+    return _with_row(df, key, cells, scope).withColumns({"_lang": spoken, "_scope": scope}).select(
         *key,
         *ROW,
         "_scope",
@@ -219,6 +235,11 @@ def tokenize(
     known: str | None = None,
     visible: DataFrame | None = None,
     entities: Iterable[str] | None = None,
+    others: str = "mask",
+    min_score: float | None = None,
+    unknown_lang: str = "error",
+    known_first: bool = True,
+    literals: str = "escape",
     allocate: bool = True,
     secret: str = "",
     boost: float = BOOST,
@@ -234,33 +255,58 @@ def tokenize(
     replace before detection. `scope` separates mappings (default: one for
     all). With `allocate=False` values the mapping lacks become [TYPE_000].
     Spans matching `visible` on `keep_visible_on` keep their text, though they
-    are part of the mapping. Only `entities` are replaced, if given.
+    are part of the mapping.
+
+    With `entities` only those get tokens. `others` says what becomes of the rest:
+    `mask` puts <ENTITY> in their place for good, `error` raises, `keep` does not look
+    for them. Findings below `min_score` are none. `unknown_lang` is that of `routed`.
+    With `known_first=False` known values are looked for in what detection left over.
+
+    Token strings that the texts already hold get tokens of the type LITERAL, so that
+    they come back as they were whatever the mapping holds, now or later. Texts that are
+    tokenized already are passed with `literals="keep"`: their tokens stay, and numbering
+    starts above them. With `allocate=False` they stay, too.
     """
     rows = list(rows)
     typed = dict(typed or {})
     key = list(key)
+    if others not in ("mask", "error", "keep"):
+        raise ValueError(f"others must be mask, error or keep, not {others!r}")
+    if literals not in ("escape", "keep"):
+        raise ValueError(f"literals must be escape or keep, not {literals!r}")
+    escape = literals == "escape" and allocate
     if entities is not None:
         entities = list(entities)
-        only(rows, entities)
+        chosen = only(rows, entities)
+        if others == "keep":
+            rows = chosen
     _checked(df, [*typed, *free_text])
     scope = F.lit(CORPUS) if scope is None else F.coalesce(scope, F.raise_error("null scope").cast("string"))
     found, n_spans = stage(
         scan(
             df, rows, key=key, free_text=free_text, typed=typed, lang=lang, scope=scope,
-            known=known, boost=boost, window=window,
+            known=known, known_first=known_first, escape=escape, min_score=min_score,
+            unknown_lang=unknown_lang, boost=boost, window=window,
         ),
         "spans",
         F.size("_spans"),
     )
     spans = found.select(*key, *ROW, F.col("_scope").alias("scope"), F.inline("_spans"))
+    rest = None
     if entities is not None:
-        whole = [F.lit(str(i)) for i in range(len(typed))]
-        spans = spans.where(F.col("entity").isin(entities) | F.col("path").isin(*whole) if whole
-                            else F.col("entity").isin(entities))
+        # Typed cells, known values and literals are named by the caller or by their form.
+        found_by = sorted({d.entity for d in rows} - set(entities))
+        whole = F.col("path").isin([str(i) for i in range(len(typed))]) if typed else F.lit(False)
+        other = F.col("entity").isin(found_by) & ~whole
+        rest, spans = spans.where(other), spans.where(~other)
+        if others == "error" and not rest.isEmpty():
+            raise ValueError(f"identifiers beyond {entities}: {rest.first()['entity']}")
 
     new = None
     if allocate:
-        reserved = parse_tokens(found.select(F.col("_scope").alias("scope"), F.explode("_seen").alias("token")))
+        reserved = None
+        if not escape:
+            reserved = parse_tokens(found.select(F.col("_scope").alias("scope"), F.explode("_seen").alias("token")))
         new = new_entries(
             spans,
             mapping,
@@ -286,12 +332,20 @@ def tokenize(
         "token", F.coalesce("token", F.concat(F.lit("["), F.col("pii_type"), F.lit("_000]")))
     )
 
+    places = [*ROW, "path", "start", "end", "token"]
+    if rest is not None and others == "mask":
+        masks = rest.withColumn("token", F.concat(F.lit("<"), "entity", F.lit(">")))
+        replaced = replaced.select(*places).unionByName(masks.select(*places))
+
     columns = [
         c for c in _columns(df, [*typed, *free_text]) if c[0] not in typed or _is_text(c[1])
     ]
     may_change = None
     if known is None and not typed and all(d.hint for d in rows):
-        may_change = _any_leaf(columns, lambda text: S.hinted(text, rows))
+        may_change = _any_leaf(
+            columns,
+            lambda text: f"({S.hinted(text, rows)} or {S.mentions_token(text)})" if escape else S.hinted(text, rows),
+        )
     hashed = _columns(df, [*typed, *free_text])
     return Tokenized(_put_back(df, key, columns, replaced, may_change, scope, hashed), full, spans.drop(*ROW), new)
 

@@ -64,7 +64,7 @@ def retrieval(
     mapping, _ = stage(ingested.mapping, "mapping")
     asked = tokenize(queries, rows, key=["query_id"], lang=query_lang, mapping=mapping)
     questions, _ = stage(asked.table, "questions")
-    scores = R.cosine_scores(questions, index)
+    scores = R.leading_scores(questions, index, k)
     hits = R.top_k(scores, k, queries=questions, docs=index, min_score=min_score)
     return Retrieval(index, asked.mapping, questions, hits, R.build_prompts(hits, questions, index))
 

@@ -33,13 +33,3 @@ def read_payloads(spark: SparkSession, path: str, schema) -> DataFrame:
 def write_documents(docs: DataFrame, path: str, format: str = "parquet") -> None:
     """Rewritten documents with their names as a column, not one file each."""
     docs.write.mode("errorifexists").format(format).save(path)
-
-
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Give every core work when a table comes in fewer pieces than there are cores.
-
-    Searching texts is heavier than moving a small table once. Tables of usual
-    size have more splits than cores and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskline.sources.documents import spread
-
 
 def _digits(number: str, width: int) -> str:
     return f"lpad(cast({number} as string), {width}, '0')"
@@ -65,6 +63,17 @@ NAMES_SQL = (
 )
 # Spanish texts stand in for Polish ones where routing by language is shown.
 ROUTED_SQL = "SELECT doc_id, case when lang = 'es' then 'pl' else lang end AS lang, text FROM documents"
+LANGUAGES_SQL = (
+    "SELECT o_orderkey AS doc_id, case o_orderkey % 4 when 0 then 'pl' when 1 then 'en' when 2 then 'xx' end AS lang, "
+    f"{NOTE_TEXT} AS text FROM orders"
+)
+UNKEYED_SQL = (
+    "SELECT case when doc_id % 3 = 0 then null else doc_id % 7 end AS doc_id, lang, text FROM documents"
+)
+LITERALS_SQL = (
+    "SELECT doc_id, lang, '[EMAIL_001] ' || text || ' [CREDIT_CARD_' || lpad(cast(doc_id % 9 as string), 3, '0') || "
+    "'] [EMAIL_99999999999999999999] [LITERAL_001]' AS text FROM documents"
+)
 TYPED_SQL = (
     f"SELECT c_custkey AS id, {NAME.format('c_custkey')} AS name, 'klient' || cast(c_custkey as string) || "
     "'@example.pl' AS email, case when c_custkey % 5 = 0 then '' when c_custkey % 7 = 0 then null else "
@@ -88,6 +97,12 @@ KEYS = {
 }
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Give every core work: the test tables come in one piece each, real ones in many."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return spread(rows, *KEYS[name]) if name in KEYS else rows

@@ -13,11 +13,14 @@ from registry.inputs import (
     CALLS_SQL,
     CASES_SQL,
     EVERYTHING_SQL,
+    LANGUAGES_SQL,
+    LITERALS_SQL,
     NAMES_SQL,
     NOTES_SQL,
     ROUTED_SQL,
     SUBJECTS_SQL,
     TYPED_SQL,
+    UNKEYED_SQL,
 )
 
 DOCUMENTS_SQL = "SELECT doc_id, lang, text FROM documents"
@@ -332,6 +335,8 @@ shown AS (
     + rewriting("SELECT * FROM shown")
 )
 
+_CHOSEN = "entity IN ('PL_PESEL', 'EMAIL_ADDRESS')"
+
 SQL: dict[str, str] = {
     "read_documents": "SELECT doc_id, text FROM documents",
     "read_table": "SELECT * FROM customer",
@@ -370,6 +375,43 @@ SQL: dict[str, str] = {
     "tokenize_whitelist": q(
         tokenized(NOTES_SQL, POLISH, where="entity IN ('PL_PESEL', 'EMAIL_ADDRESS')"), "SELECT doc_id, text FROM done"
     ),
+    "tokenize_others_masked": q(
+        kept(NOTES_SQL, POLISH) + "," + numbering(f"SELECT pii_type, value FROM k WHERE {_CHOSEN}") + "," + rewriting(
+            f"SELECT doc_id, s, e, CASE WHEN {_CHOSEN} THEN token ELSE '<' || entity || '>' END AS token "
+            "FROM k LEFT JOIN map USING (pii_type, value)"
+        ),
+        "SELECT doc_id, text FROM done",
+    ),
+    "tokenize_threshold": q(
+        nested("f0", findings(NOTES_SQL, POLISH_ALL), "SELECT * FROM f WHERE score >= 0.75") + ","
+        + kept(NOTES_SQL, POLISH_ALL).replace("FROM f GROUP BY", "FROM f0 GROUP BY") + ","
+        + numbering("SELECT pii_type, value FROM k") + ","
+        + rewriting("SELECT doc_id, s, e, token FROM k JOIN map USING (pii_type, value)"),
+        "SELECT doc_id, text FROM done",
+    ),
+    "detect_languages": q(
+        findings(
+            f"SELECT doc_id, CASE WHEN lang = 'pl' THEN 'pl' ELSE 'en' END AS lang, text FROM ({LANGUAGES_SQL})",
+            POLISH, other_langs=["en"],
+        ),
+        f"SELECT {FINDING} FROM f",
+    ),
+    "known_after": q(
+        nested("k", kept(CASES_SQL, POLISH, key="case_id, doc_id"), "SELECT * FROM k") + "," + _NAME_SPANS + """,
+all_spans AS (
+  SELECT doc_id, pii_type, value, s, e FROM k UNION ALL
+  SELECT doc_id, pii_type, value, s, s + length(value) FROM name_spans n WHERE NOT EXISTS (
+    SELECT 1 FROM k WHERE k.doc_id = n.doc_id AND k.s < n.s + length(n.value) AND n.s < k.e)),"""
+        + numbering("SELECT pii_type, value FROM all_spans") + ","
+        + rewriting("SELECT doc_id, s, e, token FROM all_spans JOIN map USING (pii_type, value)"),
+        "SELECT doc_id, text FROM done",
+    ),
+    "tokenize_unkeyed": q(
+        _DOC_TOKENS + f", unkeyed AS ({UNKEYED_SQL.replace('FROM documents', 'FROM done')})",
+        "SELECT doc_id, text FROM unkeyed",
+    ),
+    "tokenize_literals": f"SELECT doc_id, text FROM ({LITERALS_SQL})",
+    "stream_literals": f"SELECT doc_id, text FROM ({LITERALS_SQL})",
     "detect_all": q(findings(EVERYTHING_SQL, POLISH, **ALL_OPTIONS), f"SELECT source, {FINDING} FROM f"),
     "detect_multilingual": q(findings(ROUTED_SQL, POLISH, **ALL_OPTIONS), f"SELECT {FINDING} FROM f"),
     "detect_offsets": q(

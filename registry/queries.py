@@ -12,6 +12,7 @@ from maskline.operators import audit as A
 from maskline.operators import detect as D
 from maskline.operators import mapping as M
 from maskline.operators import retrieve as R
+from maskline.operators.lookup import salted_join
 from maskline.operators.known import KNOWN, as_values, attach_known
 from maskline.operators.tokenize import restore, round_trip_differences, tokenize
 from maskline.plans import jobs as P
@@ -123,7 +124,8 @@ def write_report(spark, sf):
 
 
 def findings_per_detector(spark, sf):
-    found_ = D.detect(I.everything(spark, sf), ALL, key=["source", "lang", "doc_id"])
+    # Counts need no scores, and so no context.
+    found_ = D.detect(I.everything(spark, sf), ALL, key=["source", "lang", "doc_id"], boost=0)
     return D.count_per_detector(found_, "source", "lang")
 
 
@@ -132,7 +134,7 @@ def detect_opt_in(spark, sf):
 
 
 def findings_relabelled(spark, sf):
-    f = D.detect(I.notes(spark, sf), POLISH_ALL)
+    f = D.detect(I.notes(spark, sf), POLISH_ALL, boost=0)
     return f.groupBy(
         D.entity_of("pii_type").alias("entity"), D.pii_type_of("entity").alias("pii_type")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -149,15 +151,25 @@ def detect_custom(spark, sf):
 
 def detect_excluding(spark, sf):
     rows = C.excluding(POLISH, ["EMAIL_ADDRESS", "CREDIT_CARD"])
-    return D.count_per_detector(D.detect(I.notes(spark, sf), rows))
+    return D.count_per_detector(D.detect(I.notes(spark, sf), rows, boost=0))
 
 
 def tokenize_whitelist(spark, sf):
     return tokenize(
-        I.notes(spark, sf), POLISH, entities=["PL_PESEL", "EMAIL_ADDRESS"]
+        I.notes(spark, sf), POLISH, entities=["PL_PESEL", "EMAIL_ADDRESS"], others="keep"
+    ).table.select("doc_id", "text")
+
+
+def tokenize_others_masked(spark, sf):
+    return tokenize(
+        I.notes(spark, sf), POLISH, entities=["PL_PESEL", "EMAIL_ADDRESS"], others="mask"
     ).table.select("doc_id", "text")
 
 
+def tokenize_threshold(spark, sf):
+    return tokenize(I.notes(spark, sf), POLISH_ALL, min_score=0.75).table.select("doc_id", "text")
+
+
 # --- detection -----------------------------------------------------------------------
 
 
@@ -169,6 +181,11 @@ def detect_multilingual(spark, sf):
     return found(D.detect(I.derived(spark, sf, I.ROUTED_SQL), ALL))
 
 
+def detect_languages(spark, sf):
+    """The same numbers are findings in Polish and none elsewhere; no or another language gets the common detectors."""
+    return found(D.detect(I.derived(spark, sf, I.LANGUAGES_SQL), C.detectors(["pl", "en"]), unknown_lang="cross"))
+
+
 def detect_offsets(spark, sf):
     f = D.detect(I.documents(spark, sf), CROSS).withColumnRenamed("value", "found")
     cut = F.substring("text", F.col("start") + 1, F.col("end") - F.col("start"))
@@ -246,7 +263,9 @@ def mapping_size(spark, sf):
 
 def token_consistency(spark, sf):
     result = tokenize(I.notes(spark, sf), POLISH)
-    used = result.spans.join(result.mapping.drop("ordinal"), ["scope", "pii_type", "value"])
+    used = salted_join(
+        result.spans, result.mapping.drop("ordinal"), ["scope", "pii_type", "value"], spread=["doc_id", "start"]
+    )
     wrong = M.inconsistencies(used).count()
     return used.groupBy("pii_type").agg(
         F.countDistinct("value").alias("values"),
@@ -295,6 +314,26 @@ def replace_known_values(spark, sf):
     return tokenize(listed, [], known=KNOWN).table.select("doc_id", "text")
 
 
+def known_after(spark, sf):
+    """Names are looked for in what the detectors left over."""
+    listed = attach_known(I.cases(spark, sf), case_names(spark, sf), ["case_id"], spread=["doc_id"])
+    return tokenize(listed, POLISH, known=KNOWN, known_first=False).table.select("doc_id", "text")
+
+
+def tokenize_unkeyed(spark, sf):
+    """Keys that are null or repeated."""
+    return tokenize(I.derived(spark, sf, I.UNKEYED_SQL), CROSS).table.select("doc_id", "text")
+
+
+def tokenize_literals(spark, sf):
+    """Texts that mention tokens of the mapping they are tokenized with come back as they were."""
+    mapping, _ = stage(tokenize(I.documents(spark, sf), CROSS).mapping, "mapping")
+    result = tokenize(I.derived(spark, sf, I.LITERALS_SQL), CROSS, mapping=mapping)
+    table, _ = stage(result.table, "tokenized")
+    grown, _ = stage(result.mapping, "mapping")
+    return restore(table, grown, columns=["text"]).select("doc_id", "text")
+
+
 def tokenize_custom(spark, sf):
     return tokenize(I.notes(spark, sf), [*POLISH, CUSTOMER_ID]).table.select("doc_id", "text")
 
@@ -378,7 +417,7 @@ def audit_report(spark, sf):
 
 
 def audit_summary(spark, sf):
-    return A.summary(D.detect(I.everything(spark, sf), ALL, key=["source", "doc_id"]))
+    return A.summary(D.detect(I.everything(spark, sf), ALL, key=["source", "doc_id"], boost=0))
 
 
 def audit_total(spark, sf):
@@ -435,7 +474,7 @@ def cosine_scores(spark, sf):
 
 def retrieve_topk(spark, sf):
     asked, docs = benchmark_queries(spark, sf), I.documents(spark, sf)
-    hits = R.top_k(R.cosine_scores(asked, docs), 2, queries=asked, docs=docs)
+    hits = R.top_k(R.leading_scores(asked, docs, 2), 2, queries=asked, docs=docs)
     return hits.select("query_id", F.col("rank").cast("bigint"), "doc_id", F.round("score", 6).alias("score"))
 
 
@@ -448,7 +487,7 @@ def tokenize_queries(spark, sf):
 
 def build_prompts(spark, sf):
     asked, docs = benchmark_queries(spark, sf), I.documents(spark, sf)
-    hits = R.top_k(R.cosine_scores(asked, docs), 2, min_score=1e-9)
+    hits = R.top_k(R.leading_scores(asked, docs, 2), 2, min_score=1e-9)
     return R.build_prompts(hits, asked, docs)
 
 
@@ -527,12 +566,25 @@ def stream_restore(spark, sf):
     return spark.read.parquet(restored).select("doc_id", "lang", "text")
 
 
+def stream_literals(spark, sf):
+    """A stream of texts that mention tokens the stream itself hands out."""
+    texts, _ = stage(I.derived(spark, sf, I.LITERALS_SQL), "literals")
+    source, store, out = texts.inputFiles()[0].rsplit("/", 1)[0], new_path(spark, "stream-mapping"), new_path(spark, "out")
+    stream = spark.readStream.schema(texts.schema).parquet(source)
+    G.tokenize_stream(stream, CROSS, store, out, new_path(spark, "checkpoint")).awaitTermination()
+    back = new_path(spark, "stream-restored")
+    tokens = spark.readStream.schema(texts.schema).parquet(out)
+    G.restore_stream(tokens, store, back, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(back).select("doc_id", "text")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         read_documents, read_table, write_documents, mapping_export, mapping_import, mapping_vault, write_report,
         findings_per_detector, detect_opt_in, findings_relabelled, context_override, detect_custom,
-        detect_excluding, tokenize_whitelist, detect_all, detect_multilingual, detect_offsets, detect_rejected,
+        detect_excluding, tokenize_whitelist, tokenize_others_masked, tokenize_threshold, detect_languages, known_after,
+        tokenize_unkeyed, tokenize_literals, stream_literals, detect_all, detect_multilingual, detect_offsets, detect_rejected,
         context_boost, score_threshold, entity_filter, resolve_overlaps, findings_sorted, allocate_tokens,
         allocate_ordinals, extend_mapping, preseed_values, allocate_per_document, mapping_size, token_consistency,
         tokenize_documents, tokenize_notes, tokenize_columns, tokenize_table, replace_known_values, tokenize_custom,

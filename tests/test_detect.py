@@ -80,9 +80,18 @@ def test_languages_route_detectors(docs):
 
 
 def test_unknown_language_can_raise(docs):
-    with pytest.raises(ValueError, match="'xx'"):
-        D.check_languages(docs("a", lang="xx"), ROWS)
-    D.check_languages(docs("a", lang="pl"), ROWS)
+    for lang in ("xx", "PL", "pl-PL", None):
+        with pytest.raises(Exception, match=f"no detectors for language {lang or 'null'}"):
+            D.detect(docs("a", lang=lang), ROWS).collect()
+    assert D.detect(docs("a", lang="pl"), ROWS).count() == 0
+
+
+def test_unknown_language_can_be_searched_or_skipped(docs):
+    both = docs("44051401359 jan@example.pl", lang="xx").unionByName(docs("anna@example.pl", lang=None))
+    assert sorted(v for *_, v in values(D.detect(both, ROWS, unknown_lang="cross"))) == [
+        "anna@example.pl", "jan@example.pl"
+    ]
+    assert D.detect(both, ROWS, unknown_lang="skip").count() == 0
 
 
 def test_empty_null_and_nothing(docs):

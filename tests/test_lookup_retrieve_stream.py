@@ -52,6 +52,17 @@ def test_retrieval_matches_brute_force(spark):
         assert all(abs(m[2] + s) < 1e-12 for m, (s, _) in zip(mine, ranked))
 
 
+def test_leading_scores_are_all_that_ranking_needs(spark):
+    texts = [(i, f"a b {'c ' * (i % 7)} {'d' if i % 3 else 'e'}") for i in range(400)] + [(400, None), (401, "")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+    asked = spark.createDataFrame([(1, "a c"), (2, "d"), (3, "x"), (4, None)], "query_id int, text string")
+    for k in (1, 5):
+        few = R.leading_scores(asked, docs, k)
+        assert few.count() <= 5 * 3 * k
+        want = R.top_k(R.cosine_scores(asked, docs), k, queries=asked, docs=docs)
+        assert set(R.top_k(few, k, queries=asked, docs=docs).collect()) == set(want.collect())
+
+
 def test_retrieval_with_redaction(spark):
     asked = spark.createDataFrame(QUESTIONS[:1], "query_id int, text string").withColumn("lang", F.lit("pl"))
     docs = spark.createDataFrame(TICKETS, "doc_id int, text string").withColumn("lang", F.lit("pl"))

@@ -29,10 +29,11 @@ def test_round_trip_and_edges(docs):
     got = texts(out.table)
     assert "44051401359" not in got[0] and "jan@example.pl" not in got[0]
     assert "44051401358" in got[1] and "0000123456" not in got[1]
-    assert got[2] == "" and got[3] is None and got[4] == "nic" and got[6] == "stary [EMAIL_001] i [NIE_9]"
+    assert got[2] == "" and got[3] is None and got[4] == "nic"
     assert got[7].count("[EMAIL_") == 200
     tokens = {r["value"]: r["token"] for r in out.mapping.collect()}
-    assert "[EMAIL_001]" not in tokens.values()
+    assert got[6] == f"stary {tokens['[EMAIL_001]']} i {tokens['[NIE_9]']}"
+    assert tokens["[EMAIL_001]"].startswith("[LITERAL_")
     assert got[5] == f"😀 {tokens['jan@example.pl']} ż44051401359"
     assert round_trip_differences(source, restore(out.table, out.mapping), ["doc_id"], ["text"]).count() == 0
 
@@ -60,8 +61,15 @@ def test_lookup_only(docs):
 
 
 def test_whitelist(docs):
-    got = texts(tokenize(docs("jan@example.pl 44051401359"), ROWS, entities=["PL_PESEL"]).table)
-    assert got[0] == "jan@example.pl [PL_PESEL_001]"
+    def got(text, entity, **options):
+        return texts(tokenize(docs(text), ROWS, entities=[entity], **options).table)[0]
+
+    text = "jan@example.pl 44051401359"
+    assert got(text, "PL_PESEL", others="keep") == "jan@example.pl [PL_PESEL_001]"
+    assert got(text, "PL_PESEL") == "<EMAIL_ADDRESS> [PL_PESEL_001]"
+    assert got("5260001246", "PL_KRS") == "<PL_NIP>" and got("5260001246", "PL_KRS", others="keep") == "[PL_KRS_001]"
+    with pytest.raises(ValueError, match="EMAIL_ADDRESS"):
+        got(text, "PL_PESEL", others="error")
     with pytest.raises(ValueError, match="unsupported entity"):
         tokenize(docs("x"), ROWS, entities=["US_SSN"])
 
@@ -179,7 +187,7 @@ def test_customer_files(docs):
 
 def test_unchanged_texts_are_not_shuffled(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
-    plan = tokenize(frame, C.detectors(["en", "de"])).table._jdf.queryExecution().optimizedPlan().toString()
+    plan = tokenize(frame, C.detectors(["en", "de"]), unknown_lang="skip").table._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("Union")
 
 
@@ -245,6 +253,28 @@ def test_null_scope_is_an_error(spark):
 
 
 def test_long_literal_is_not_given_away_again(docs):
-    done = tokenize(docs("[EMAIL_999999999999999] [EMAIL_1000000000000000] jan@example.pl"), C.detectors())
+    done = tokenize(
+        docs("[EMAIL_999999999999999] [EMAIL_1000000000000000] jan@example.pl"), C.detectors(), literals="keep"
+    )
     assert done.mapping.collect()[0]["token"] == "[EMAIL_1000000000000001]"
     assert done.table.collect()[0]["text"].endswith("[EMAIL_1000000000000000] [EMAIL_1000000000000001]")
+
+
+def test_tokens_in_later_texts_come_back_as_they_were(docs):
+    first = tokenize(docs("jan@example.pl"), ROWS)
+    later = docs("[EMAIL_001] ewa@example.pl [EMAIL_99999999999999999999] [LITERAL_001]")
+    done = tokenize(later, ROWS, mapping=first.mapping)
+    assert "[EMAIL_001]" not in texts(done.table)[0] and "@" not in texts(done.table)[0]
+    assert texts(restore(done.table, done.mapping)) == texts(later)
+
+
+def test_threshold(docs):
+    got = texts(tokenize(docs("ABC123456 44051401359, dowód ABC123456"), ROWS, min_score=0.75).table)[0]
+    assert got == "ABC123456 [PL_PESEL_001], dowód [PL_ID_CARD_001]"
+
+
+def test_known_values_after_detection(docs, spark):
+    source = docs("jan pisze z jan@example.pl").withColumn("c", F.lit(1))
+    known = spark.createDataFrame([(1, "z jan", "PERSON", 1), (1, "jan", "PERSON", 2)], "c int, value string, pii_type string, seq int")
+    listed = attach_known(source, known, ["c"], spread=["doc_id"])
+    assert texts(tokenize(listed, ROWS, known=KNOWN, known_first=False).table)[0] == "[PERSON_001] pisze z [EMAIL_001]"
