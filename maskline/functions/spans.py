@@ -196,8 +196,6 @@ def candidates(text: str, lang: str, rows: Sequence[Detector]) -> str:
     def search(clean: str) -> str:
         def hit(rank: int, d: Detector, langs: list[str]) -> str:
             spoken = f"{lang} in ({', '.join(Q.text(x) for x in langs)})"
-            if d.hint[1:]:
-                spoken += f" and {_hints(clean, d.hint[1:])}"
             parts = f"if({spoken}, {_parts(clean, Q.text(d.regex))}, array(''))"
             return Q.struct(rank=str(rank), parts=parts)
 

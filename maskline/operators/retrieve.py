@@ -52,14 +52,10 @@ def _norm(words: str) -> Column:
     return F.expr(f"sqrt({Q.aggregate(f'array_sort({words})', start, step)}.total)")
 
 
-def _split(texts: DataFrame, key: str, text: str, norm: str) -> DataFrame:
-    """(key, norm, _words), one row per text, which is split once."""
-    return texts.select(key, F.expr(_words(text)).alias("_words")).select(key, _norm("_words").alias(norm), "_words")
-
-
 def _occurrences(texts: DataFrame, key: str, text: str, norm: str) -> DataFrame:
     """(key, norm, term), one row per word. The norm is computed below the explode, once per text."""
-    return _split(texts, key, text, norm).select(key, norm, F.explode("_words").alias("term"))
+    split = texts.select(key, F.expr(_words(text)).alias("_words"))
+    return split.select(key, _norm("_words").alias(norm), "_words").select(key, norm, F.explode("_words").alias("term"))
 
 
 def _query_terms(queries: DataFrame, query_id: str, text: str) -> tuple[DataFrame, int]:
@@ -144,7 +140,7 @@ def leading_scores(
                 names=[query_id, doc_id, "score"],
             )
 
-    return _split(docs, doc_id, text, "_norm").mapInArrow(score, schema)
+    return docs.select(doc_id, F.expr(_words(text)).alias("_words")).mapInArrow(score, schema)
 
 
 class _Asked:
@@ -170,18 +166,22 @@ class _Asked:
 
     def better(self, best: pd.DataFrame | None, batch: pa.RecordBatch, k: int) -> pd.DataFrame | None:
         """The k best rows (query, doc, score) of each query among `best` and the batch."""
-        ids, norms, lists = batch.columns
+        ids, lists = batch.columns
         self.doc_type = ids.type
         if not len(self.ids) or not len(ids):
             return best
         lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        found = pc.index_in(lists.flatten(), value_set=self.words)
-        hit = pc.is_valid(found).to_numpy(zero_copy_only=False)
-        doc = np.repeat(np.arange(len(ids)), lengths)[hit]
-        term = found.drop_null().to_numpy(zero_copy_only=False).astype("int64")
-        pairs, copies = np.unique(doc * len(self.words) + term, return_counts=True)
-        doc, term = np.divmod(pairs, len(self.words))
-        norms = norms.to_numpy(zero_copy_only=False)
+        spelled = lists.flatten().dictionary_encode()
+        if not len(spelled):
+            return best
+        of_doc = np.repeat(np.arange(len(ids)), lengths)
+        word = spelled.indices.to_numpy(zero_copy_only=False).astype("int64")
+        pairs, copies = np.unique(of_doc * len(spelled.dictionary) + word, return_counts=True)
+        doc, word = np.divmod(pairs, len(spelled.dictionary))
+        norms = np.sqrt(np.bincount(doc, copies.astype("float64") ** 2, len(ids)))
+        term = pc.fill_null(pc.index_in(spelled.dictionary, value_set=self.words), -1).to_numpy(zero_copy_only=False)[word]
+        hit = term >= 0
+        doc, term, copies = doc[hit], term[hit], copies[hit]
         names = pd.Series(ids.to_pandas(integer_object_nulls=True))
         n_queries = len(self.ids)
         step = max(1, BLOCK_CELLS // max(n_queries, len(self.query)))
