@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from maskline.catalog import Detector, only
 from maskline.functions import spans as S
 from maskline.functions import sql as Q
-from maskline.functions.leaves import has_text, leaves, rebuilt
+from maskline.functions.leaves import JsonText, has_text, leaves, rebuilt
 from maskline.operators.detect import BOOST, WINDOW, routed
 from maskline.operators.lookup import salted_join
 from maskline.operators.mapping import MAPPING_COLUMNS, parse_tokens
@@ -42,9 +42,9 @@ class Tokenized:
     new: DataFrame | None = None
 
 
-def _columns(df: DataFrame, names: Iterable[str]) -> list[tuple[str, T.DataType, str]]:
+def _columns(df: DataFrame, names: Iterable[str], json: Sequence[str] = ()) -> list[tuple[str, T.DataType, str]]:
     """Present columns with their type and root path; absent ones are skipped."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
+    kinds = {f.name: JsonText() if f.name in json and _is_text(f.dataType) else f.dataType for f in df.schema.fields}
     return [(n, kinds[n], f"'{i}'") for i, n in enumerate(names) if n in kinds]
 
 
@@ -81,13 +81,6 @@ def _with_row(df: DataFrame, key: Sequence[str], columns, scope: Column) -> Data
     return df.withColumns({name: F.xxhash64(F.lit(i), *parts) for i, name in enumerate(ROW)})
 
 
-def _checked(df: DataFrame, names: Iterable[str]) -> None:
-    """Raise for a column that may hold strings out of reach."""
-    for column, kind, _ in _columns(df, names):
-        if isinstance(kind, T.VariantType):
-            raise ValueError(f"column {column!r}: VARIANT is not searched; parse it into a typed column first")
-
-
 def scan(
     df: DataFrame,
     rows: Sequence[Detector],
@@ -102,6 +95,7 @@ def scan(
     escape: bool = True,
     min_score: float | None = None,
     unknown_lang: str = "error",
+    json: Sequence[str] = (),
     boost: float = BOOST,
     window: int = WINDOW,
 ) -> DataFrame:
@@ -110,7 +104,7 @@ def scan(
     Only rows that pass the detectors' first hints are looked at closely. There
     is no filter on the result: Spark would push it down and search twice.
     """
-    cells = _columns(df, [*typed, *free_text])
+    cells = _columns(df, [*typed, *free_text], json)
     spoken, strange, rows = routed(lang, rows, unknown_lang)
 
     def detected(text: str) -> str:
@@ -240,6 +234,7 @@ def tokenize(
     unknown_lang: str = "error",
     known_first: bool = True,
     literals: str = "escape",
+    json: Sequence[str] = (),
     allocate: bool = True,
     secret: str = "",
     boost: float = BOOST,
@@ -250,7 +245,9 @@ def tokenize(
 
     `key` names a row; it may be null or repeated, rows are told apart by their texts too.
     A null scope is an error. `free_text` columns are searched, at any nesting
-    depth; each string cell of a `typed` column gets a token as a whole. The
+    depth; each string cell of a `typed` column gets a token as a whole. String columns
+    that `json` names hold JSON of any shape, as VARIANT columns do: their string values
+    are searched, keys and numbers stay, malformed JSON and repeated keys are errors. The
     `known` column holds array<struct<seq,value,pii_type>> of literal values to
     replace before detection. `scope` separates mappings (default: one for
     all). With `allocate=False` values the mapping lacks become [TYPE_000].
@@ -280,13 +277,13 @@ def tokenize(
         chosen = only(rows, entities)
         if others == "keep":
             rows = chosen
-    _checked(df, [*typed, *free_text])
+    free_text = list(dict.fromkeys([*free_text, *json]))
     scope = F.lit(CORPUS) if scope is None else F.coalesce(scope, F.raise_error("null scope").cast("string"))
     found, n_spans = stage(
         scan(
             df, rows, key=key, free_text=free_text, typed=typed, lang=lang, scope=scope,
             known=known, known_first=known_first, escape=escape, min_score=min_score,
-            unknown_lang=unknown_lang, boost=boost, window=window,
+            unknown_lang=unknown_lang, json=json, boost=boost, window=window,
         ),
         "spans",
         F.size("_spans"),
@@ -338,7 +335,7 @@ def tokenize(
         replaced = replaced.select(*places).unionByName(masks.select(*places))
 
     columns = [
-        c for c in _columns(df, [*typed, *free_text]) if c[0] not in typed or _is_text(c[1])
+        c for c in _columns(df, [*typed, *free_text], json) if c[0] not in typed or _is_text(c[1])
     ]
     may_change = None
     if known is None and not typed and all(d.hint for d in rows):
@@ -346,7 +343,7 @@ def tokenize(
             columns,
             lambda text: f"({S.hinted(text, rows)} or {S.mentions_token(text)})" if escape else S.hinted(text, rows),
         )
-    hashed = _columns(df, [*typed, *free_text])
+    hashed = _columns(df, [*typed, *free_text], json)
     return Tokenized(_put_back(df, key, columns, replaced, may_change, scope, hashed), full, spans.drop(*ROW), new)
 
 
@@ -357,17 +354,17 @@ def restore(
     key: Sequence[str] = ("doc_id",),
     columns: Sequence[str] | None = None,
     scope: Column | None = None,
+    json: Sequence[str] = (),
 ) -> DataFrame:
     """Replace tokens by the values of `mapping`; unknown tokens stay.
 
-    Covers every column with strings in it unless `columns` names some.
+    Covers every column with strings in it unless `columns` names some. String columns
+    that `json` names hold JSON: what is put back is spelled as JSON spells it.
     """
     key = list(key)
     scope = F.lit(CORPUS) if scope is None else F.coalesce(scope, F.raise_error("null scope").cast("string"))
     names = columns if columns is not None else [n for n in df.columns if n not in key]
-    if columns is not None:
-        _checked(df, names)
-    cells = [c for c in _columns(df, names) if has_text(c[1])]
+    cells = [c for c in _columns(df, names, json) if has_text(c[1])]
     if not cells:
         return df
     located = Q.transform(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskline.functions.leaves import is_json
+
 
 def read_folder(spark: SparkSession, path: str, lang: str | None = None) -> DataFrame:
     """One row per file below `path`: doc_id (path inside the folder), text, and lang if given."""
@@ -25,9 +27,17 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet", schema=N
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def read_payloads(spark: SparkSession, path: str, schema) -> DataFrame:
-    """JSON payloads, one object per line, with a declared schema; a malformed line is an error."""
-    return spark.read.schema(schema).json(path, mode="FAILFAST")
+def read_payloads(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """JSON payloads, one per line; a malformed line is an error.
+
+    With a schema its fields become columns. Without one, payloads of any shape come as
+    the text column `payload`, to be named in `json` when tokenized; blank lines are skipped.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).json(path, mode="FAILFAST")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    wrong = F.raise_error("malformed JSON payload").cast("string")
+    return lines.select(F.when(F.expr(is_json("value")), F.col("value")).otherwise(wrong).alias("payload"))
 
 
 def write_documents(docs: DataFrame, path: str, format: str = "parquet") -> None:

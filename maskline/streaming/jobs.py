@@ -62,16 +62,26 @@ def tokenize_batch(
 
 
 def tokenize_stream(
-    messages: DataFrame, rows: Iterable[Detector], store: str, out: str, checkpoint: str, **options
+    messages: DataFrame,
+    rows: Iterable[Detector],
+    store: str,
+    out: str,
+    checkpoint: str,
+    *,
+    trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Tokenize a stream; each batch commits its new entries before its texts."""
+    """Tokenize a stream; each batch commits its new entries before its texts.
+
+    `trigger` holds the arguments of the writer's trigger (default: all there is, then stop).
+    """
     rows = list(rows)
     return (
         messages.writeStream.foreachBatch(
             lambda batch, batch_id: tokenize_batch(batch, batch_id, rows, store, out, **options)
         )
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -85,6 +95,7 @@ def restore_stream(
     key: Sequence[str] = ("doc_id",),
     columns: Sequence[str] = ("text",),
     scope: Column | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Restore a stream of replies; every batch reads the mapping as it is by then."""
 
@@ -97,6 +108,6 @@ def restore_stream(
     return (
         replies.writeStream.foreachBatch(one_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -179,6 +179,20 @@ def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("id", F.from_json(payload, schema).alias("payload"))
 
 
+def loose_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as JSON text whose shape and keys differ from row to row."""
+    flat = derived(spark, sf_dir, CALLS_SQL)
+    key = F.concat(F.lit("k"), (F.col("id") % 5).cast("string"))
+    text = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
+    recipient, subject, body, tag = map(text, ("recipient", "subject", "body", "tag"))
+    said = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    call = said('{"to": ', recipient, ', "', key, '": {"subject": ', subject, ', "lines": [', body, ', null]}, "tag": ', tag, "}")
+    row = said("[", recipient, ", ", subject, ', {"', key, '": ', body, ', "n": ', F.col("amount").cast("string"), "}, ", tag, "]")
+    deep = said('{"', key, '":[[', recipient, "],[", subject, ',true]],"b":', body, ',"tags":{"', key, '":', tag, "}}")
+    shape = F.when(F.col("id") % 3 == 0, call).when(F.col("id") % 3 == 1, row).otherwise(deep)
+    return flat.select("id", shape.alias("payload"))
+
+
 def opened(calls: DataFrame) -> DataFrame:
     """The fields of the payloads as plain columns, for comparison."""
     args = F.col("payload.args")

@@ -270,6 +270,20 @@ LEAVES_SQL = (
     f"SELECT id, 'subject', subject FROM ({CALLS_SQL}) UNION ALL "
     f"SELECT id, 'body', body FROM ({CALLS_SQL}) UNION ALL SELECT id, 'tag', tag FROM ({CALLS_SQL})"
 )
+
+
+def _loose(recipient: str, subject: str, body: str, tag: str) -> str:
+    """The JSON text of a call: three shapes, and keys by the call's number."""
+    r, s, b, t = (f"CAST(to_json({x}) AS VARCHAR)" for x in (recipient, subject, body, tag))
+    key = "'k' || (c.id % 5)"
+    return (
+        f"""CASE c.id % 3 WHEN 0 THEN '{{"to": ' || {r} || ', "' || {key} || '": {{"subject": ' || {s} || """
+        f"""', "lines": [' || {b} || ', null]}}, "tag": ' || {t} || '}}' """
+        f"""WHEN 1 THEN '[' || {r} || ', ' || {s} || ', {{"' || {key} || '": ' || {b} || ', "n": ' || c.amount || '}}, ' || {t} || ']' """
+        f"""ELSE '{{"' || {key} || '":[[' || {r} || '],[' || {s} || ',true]],"b":' || {b} || ',"tags":{{"' || {key} || '":' || {t} || '}}}}' END"""
+    )
+
+
 _LEAF_KEY = "CAST(id AS VARCHAR) || '/' || leaf"
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), lambda w: w <> '')"
@@ -502,6 +516,16 @@ full_map AS (SELECT * FROM old UNION ALL SELECT * FROM fresh)""",
         "JOIN done s ON s.id = c.id AND s.leaf = 'subject' JOIN done b ON b.id = c.id AND b.leaf = 'body' "
         "JOIN done t ON t.id = c.id AND t.leaf = 'tag'",
     ),
+    "tokenize_payloads": q(
+        tokenized(
+            f"SELECT {_LEAF_KEY} AS doc_id, 'pl' AS lang, text, id, leaf FROM ({LEAVES_SQL})", POLISH
+        ),
+        "SELECT c.id, " + _loose("r.text", "s.text", "b.text", "t.text")
+        + f" AS payload FROM ({CALLS_SQL}) c JOIN done r ON r.id = c.id AND r.leaf = 'recipient' "
+        "JOIN done s ON s.id = c.id AND s.leaf = 'subject' JOIN done b ON b.id = c.id AND b.leaf = 'body' "
+        "JOIN done t ON t.id = c.id AND t.leaf = 'tag'",
+    ),
+    "restore_payloads": "SELECT id, " + _loose("recipient", "subject", "body", "tag") + f" AS payload FROM ({CALLS_SQL}) c",
     "restore_json": f"SELECT *, 'bez danych' AS footer, true AS urgent FROM ({CALLS_SQL})",
     "tokenize_json_numbers": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type FROM events",
     "audit_report": q(

@@ -398,6 +398,19 @@ def restore_json(spark, sf):
     return I.opened(restore(trace, result.mapping, key=["id"]))
 
 
+def tokenize_payloads(spark, sf):
+    """JSON text of no declared schema, its keys other ones in each row."""
+    return tokenize(
+        I.loose_calls(spark, sf), POLISH, key=["id"], free_text=[], json=["payload"], lang=F.lit("pl")
+    ).table
+
+
+def restore_payloads(spark, sf):
+    result = tokenize(I.loose_calls(spark, sf), POLISH, key=["id"], free_text=[], json=["payload"], lang=F.lit("pl"))
+    trace, _ = stage(result.table, "trace")
+    return restore(trace, result.mapping, key=["id"], json=["payload"])
+
+
 def tokenize_json_numbers(spark, sf):
     events = I.table(spark, sf, "events").select(
         "event_id", F.from_json("props", "struct<k:bigint>").alias("props"), "event_type"
@@ -589,7 +602,7 @@ QUERIES: dict[str, Query] = {
         allocate_ordinals, extend_mapping, preseed_values, allocate_per_document, mapping_size, token_consistency,
         tokenize_documents, tokenize_notes, tokenize_columns, tokenize_table, replace_known_values, tokenize_custom,
         restore_documents, restore_from_saved, restore_table, restore_selected, round_trip_check, tokenize_json,
-        restore_json, tokenize_json_numbers, audit_report, audit_summary, audit_total, audit_diff, audit_rejected,
+        restore_json, tokenize_payloads, restore_payloads, tokenize_json_numbers, audit_report, audit_summary, audit_total, audit_diff, audit_rejected,
         audit_overlaps, bag_of_words, cosine_scores, retrieve_topk, tokenize_queries, build_prompts, batch_corpus,
         retrieval_with_redaction, subject_access, subject_access_artifacts, customer_files, stream_detect,
         stream_tokenize, stream_restore,

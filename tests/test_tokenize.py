@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +126,54 @@ def test_nested_payload(spark):
     assert {r["id"]: r["p"] for r in back.collect()} == {r["id"]: r["p"] for r in calls.collect()}
 
 
+PAYLOADS = (
+    '{"do": "jan@example.pl", "jan@example.pl" : 44051401359, "x": [1, 2.50, {"y": "PESEL 44051401359\\n\\"ok\\""}], "e": ""}',
+    '["Micha\\u0142 jan@example.pl", null, true, "bez \\\\ danych \ue001"]',
+    '"jan@example.pl"',
+    "17",
+    " {} ",
+    None,
+)
+
+
+def test_payloads_of_any_shape(spark):
+    calls = spark.createDataFrame(list(enumerate(PAYLOADS)), "id int, payload string")
+    out = tokenize(calls, ROWS, key=["id"], free_text=[], json=["payload"], lang=F.lit("pl"))
+    got = {r["id"]: r["payload"] for r in out.table.collect()}
+    assert got[0].startswith('{"do": "[EMAIL_001]", "jan@example.pl" : 44051401359, "x": [1, 2.50, {"y": "PESEL [PL_PESEL_001]\\n')
+    assert json.loads(got[0])["x"][2]["y"] == 'PESEL [PL_PESEL_001]\n"ok"' and got[2] == '"[EMAIL_001]"'
+    assert json.loads(got[1]) == ["Michał [EMAIL_001]", None, True, "bez \\ danych \ue001"]
+    assert [got[i] for i in (3, 4, 5)] == list(PAYLOADS[3:])
+    back = {r["id"]: r["payload"] for r in restore(out.table, out.mapping, key=["id"], json=["payload"]).collect()}
+    assert {i: p and json.loads(p) for i, p in back.items()} == {i: p and json.loads(p) for i, p in enumerate(PAYLOADS)}
+    assert back[0] == PAYLOADS[0]
+
+
+def test_variant_payloads(spark):
+    calls = spark.createDataFrame(list(enumerate(PAYLOADS)), "id int, raw string").select("id", F.parse_json("raw").alias("p"))
+    out = tokenize(calls, ROWS, key=["id"], free_text=["p"], lang=F.lit("pl"))
+    read = lambda df: {r["id"]: r["p"] and json.loads(r["p"]) for r in df.select("id", F.to_json("p").alias("p")).collect()}
+    got = read(out.table)
+    assert got[0]["do"] == "[EMAIL_001]" and got[0]["jan@example.pl"] == 44051401359 and got[4] == {}
+    assert out.table.schema["p"].dataType.simpleString() == "variant"
+    assert read(restore(out.table, out.mapping, key=["id"])) == read(calls)
+
+
+@pytest.mark.parametrize("bad", ['{"a": "jan@example.pl"', "{'a': 1}", "jan@example.pl", '{"a": 1} jan@example.pl', "1, 2", ""])
+def test_malformed_payload_is_an_error(spark, bad):
+    calls = spark.createDataFrame([(1, bad)], "id int, payload string")
+    with pytest.raises(Exception, match="malformed JSON"):
+        tokenize(calls, ROWS, key=["id"], free_text=[], json=["payload"], lang=F.lit("pl")).table.collect()
+
+
+def test_read_payloads_of_any_shape(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n\n[2]\n')
+    assert sorted(r["payload"] for r in IO.read_payloads(spark, str(tmp_path)).collect()) == ["[2]", '{"a": 1}']
+    (tmp_path / "b.jsonl").write_text('{"a": \n')
+    with pytest.raises(Exception, match="malformed JSON"):
+        IO.read_payloads(spark, str(tmp_path)).collect()
+
+
 def test_custom_detector(docs):
     row = C.custom_detector(
         "customer_id", r"(?<![\p{L}\p{N}_])CID-\d{5}(?![\p{L}\p{N}_])", pii_type="PERSON", score=0.85
