@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,10 +46,23 @@ def stage(df: DataFrame, label: str, size: Column | None = None) -> tuple[DataFr
     return spark.read.schema(df.schema).parquet(path), int(seen.get["n"])
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables this process staged. Results that still read them become invalid."""
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged in this block is deleted at its end, also when it fails.
+
+    Results must be written out inside the block: staged spans and mappings hold raw values.
+    """
+    before = len(_written)
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)
+
+
+def drop_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables this process staged, but for the first `keep`. Results that still read them become invalid."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
-    while _written:
+    while len(_written) > keep:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(conf).delete(path, True)

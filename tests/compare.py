@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -70,6 +71,7 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as entry
+    from maskline.sources.staging import staging
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
@@ -79,6 +81,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -90,11 +93,12 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            problem = (
-                compare(spark, con, sf_dir, query, sql[name])
-                if name in sql
-                else f"no SQL; {query(spark, sf_dir).count()} rows"
-            )
+            with staging(spark):
+                problem = (
+                    compare(spark, con, sf_dir, query, sql[name])
+                    if name in sql
+                    else f"no SQL; {query(spark, sf_dir).count()} rows"
+                )
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:700]}"
         failures += problem is not None

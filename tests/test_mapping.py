@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from maskline.operators import mapping as M
 from maskline.sources import mapping_store as V
+from maskline.sources.staging import stage, staging
 
 
 @pytest.fixture
@@ -70,6 +73,17 @@ def test_inconsistencies_are_seen(spark):
     assert {(r["side"], r["item"]) for r in M.inconsistencies(bad).collect()} == {("value", "a"), ("token", "t2")}
 
 
+def test_staged_tables_go_with_their_block(spark):
+    df = spark.range(3)
+    outer, _ = stage(df, "outer")
+    with pytest.raises(RuntimeError), staging(spark):
+        inner, _ = stage(df, "inner")
+        assert inner.count() == 3
+        raise RuntimeError
+    path = inner.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    assert not os.path.exists(path) and outer.count() == 3
+
+
 def test_json_round_trip_in_parts(many):
     mapping = M.allocate(many)
     exported = V.export_json(mapping, part_size=400)
