@@ -218,6 +218,32 @@ def test_nearest(spark, factor, least):
     assert vptree.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def exact_order(x, ids, q, k):
+    """Ids of the k best of row q by (score, id), by brute force."""
+    wide = x.astype(np.float64)
+    score = (wide * wide[q]).sum(axis=1)
+    return [int(ids[i]) for i in np.lexsort((ids, -score)) if i != q][:k]
+
+
+def answers(found):
+    got = {}
+    for row in sorted(found, key=lambda f: (f["query_id"], f["rank"])):
+        got.setdefault(row["query_id"], []).append(row["vec_id"])
+    return got
+
+
+@pytest.mark.parametrize("scale", [20, 1000])
+def test_nearest_with_a_long_vector(spark, scale):
+    r = np.random.default_rng(17)
+    x = r.normal(size=(1500, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:300] *= r.uniform(0.1, 2, (300, 1)).astype(np.float32)
+    x[77] *= scale
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = answers(vptree.nearest(table, F.col("vec_id") % 50 == 0, k=10).collect())
+    assert got == {q: exact_order(x, np.arange(1500), q, 10) for q in range(0, 1500, 50)}
+
+
 def test_decontamination(spark):
     r = np.random.default_rng(9)
     def prose(n):
