@@ -6,14 +6,14 @@ of step j are below those of step j + 1, so all elements of a text take a step
 together in numpy, and a text stops once every slot is filled.
 
 Equal sets are one class. Classes that agree on a whole band of slots are candidates.
-A bucket is never expanded into all pairs at the start: its members are first held
-against a few elected pivots, verified, and united; only members that are still in
-different groups are then compared with each other, each pair once. A pair is
-dropped before verification only if its signatures differ so much (six standard
-errors) that a link is out of the question. Links are confirmed on the full sets.
-Large buckets that stay divided (many texts that are alike, but below the threshold)
-are cut into blocks, and block is held against block inside a task, which puts out
-links only: no row per pair is ever made there, and no pair is left out.
+A bucket is never expanded into pairs. Its members are first held against an elected
+pivot, each class against the few pivots it shares most bands with; these pairs are
+verified and united. A pair is dropped before verification only if its signatures differ
+so much (six standard errors) that a link is out of the question. Links are confirmed on
+the full sets. Buckets that stay divided (texts that are alike, but below the threshold,
+or linked only through others) are cut into blocks, and block is held against block inside
+a task. Every pair of different groups is compared there, and a task puts out only links
+that unite groups, at most one per member: no row per pair is ever made.
 """
 
 from __future__ import annotations
@@ -24,14 +24,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from maskline.llm.common import WordHashes, map_rows, mixed, shingle_hashes, staged, with_row_key, words_of
 from maskline.llm.groups import components
 
 BANDS, ROWS = 30, 5
-PIVOT_ROUNDS = 2
-# Buckets up to this size are compared pair by pair, larger ones block by block.
-SMALL_BUCKET, BLOCK = 64, 1_024
+# Rounds of pivots, and how many pivots a class is held against in one.
+PIVOT_ROUNDS, PIVOTS = 2, 3
+# Members of a divided bucket that are compared with as many others at a time.
+BLOCK = 1_024
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64(0xFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -112,6 +114,24 @@ def linked_pairs(sets: list[np.ndarray], groups: np.ndarray, num: int, den: int)
     return found
 
 
+def uniting(pairs: list[tuple[int, int]], groups: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs that, one after the other, still bring two groups together."""
+    parent = list(range(int(groups.max(initial=-1)) + 1))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept = []
+    for i, j in pairs:
+        a, b = root(groups[i]), root(groups[j])
+        if a != b:
+            parent[a] = b
+            kept.append((i, j))
+    return kept
+
+
 def _block_links(num: int, den: int):
     """Links between members of different groups, for rows sorted by (band, i, j)."""
 
@@ -121,8 +141,7 @@ def _block_links(num: int, den: int):
             return []
         number: dict = {}
         groups = np.array([number.setdefault(x, len(number)) for x in labels])
-        found = linked_pairs(sets, groups, num, den)
-        return [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y])) for x, y in found]
+        return [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y])) for x, y in uniting(linked_pairs(sets, groups, num, den), groups)]
 
     def run(batches):
         schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -280,19 +299,19 @@ def near_duplicates(
             map_rows(both, linked, "a binary, b binary, link boolean", "left").where("link").select("a", "b"), "verified"
         )
 
-    def block_links(large: DataFrame) -> DataFrame:
-        """Links inside large divided buckets (band, node, n, label, size)."""
+    def block_links(divided: DataFrame) -> DataFrame:
+        """Links inside divided buckets (band, node, n, label, size)."""
 
         def sets(texts, nodes):
             found = [shingle_set(t, words, table) for t in texts]
             return nodes, [x.tobytes() if _digest(x) == node else None for x, node in zip(found, nodes)]
 
         data = map_rows(
-            texts_of(large.select("node").distinct()).select("text", "node"), sets, "node binary, data binary"
+            texts_of(divided.select("node").distinct()).select("text", "node"), sets, "node binary, data binary"
         ).where("data is not null")
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-        dealt = large.select(
+        dealt = divided.select(
             "band", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
         ).select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label")
         by = ["band", "i", "j"]
@@ -309,31 +328,38 @@ def near_duplicates(
         else:
             now = now.withColumn("label", F.col("node"))
         now = now.select("band", "node", "n", "label")
-        sized = now.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-        found = None
         if turn < PIVOT_ROUNDS:
             lot = F.struct(F.xxhash64("node", F.lit(turn)).alias("lot"), "node", "n", "label")
-            others = now.groupBy("band").agg(F.min(lot).alias("p")).select("band", "p.node", "p.n", "p.label")
+            pivots = now.groupBy("band").agg(F.min(lot).alias("p")).select(
+                "band", F.col("p.node").alias("node2"), F.col("p.n").alias("n2"), F.col("p.label").alias("label2")
+            )
+            fits = (
+                (F.col("label") != F.col("label2"))
+                & (F.col("n") * den >= F.col("n2") * num)
+                & (F.col("n2") * den >= F.col("n") * num)
+            )
+            met = now.join(pivots, "band").where(fits).groupBy("node", "node2").agg(F.count(F.lit(1)).alias("bands"))
+            most = Window.partitionBy("node").orderBy(F.desc("bands"), F.xxhash64("node2"), "node2")
+            pairs = met.withColumn("place", F.row_number().over(most)).where(F.col("place") <= PIVOTS)
+            pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = staged(pairs, "pairs")
+            tried = pairs if tried is None else tried.union(pairs)
+            found = verified(pairs)
         else:
-            now = staged(now.join(sized, "band"), "divided")
-            found = block_links(now.where(F.col("size") > SMALL_BUCKET))
-            now = others = now.where(F.col("size") <= SMALL_BUCKET).drop("size")
-        other = others.select("band", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "label")])
-        fits = (
-            (F.col("label") != F.col("label2"))
-            & (F.col("n") * den >= F.col("n2") * num)
-            & (F.col("n2") * den >= F.col("n") * num)
-        )
-        if turn == PIVOT_ROUNDS:
-            fits &= F.col("node") < F.col("node2")
-        pairs = now.join(other, "band").where(fits)
-        pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        more = verified(pairs)
-        found = more if found is None else found.union(more)
+            sized = now.groupBy("band").agg(
+                F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b"),
+                F.min("n").alias("least"), F.max("n").alias("most"),
+            )
+            # two classes of too different sizes, or that were held against each other, are settled
+            settled = tried.select("a", "b", F.lit(2).cast("bigint").alias("size"))
+            open_buckets = (
+                sized.where((F.col("size") > 2) | (F.col("least") * den >= F.col("most") * num))
+                .join(settled, ["a", "b", "size"], "left_anti")
+                .select("band", "size")
+            )
+            found = block_links(staged(now.join(open_buckets, "band"), "divided"))
         links = found if links is None else links.union(found)
         groups = components(links)
 
@@ -357,9 +383,14 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words:
     """The rows, with all columns, without near-duplicates: of each group its first row stays.
 
     Of fully repeated rows (same key and text) one stays, whatever its other columns say.
+    Rows without words are no one's duplicates and all stay.
     """
-    found = near_duplicates(docs, key=key, text=text, words=words, num=num, den=den)
-    keyed, name = with_row_key(docs, key, text)
+    if len(set(docs.columns)) != len(docs.columns):
+        raise ValueError("column names must differ")
+    worded = F.coalesce(F.rlike(text, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    found = near_duplicates(docs.where(worded), key=key, text=text, words=words, num=num, den=den)
+    keyed, name = with_row_key(docs.where(worded), key, text)
     parts = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("text_hash").cast("string"))
     stay = found.where("first").select(parts.alias(name)).distinct()
-    return keyed.join(stay, name).dropDuplicates([name]).select(*docs.columns)
+    kept = keyed.join(stay, name).dropDuplicates([name]).select(*docs.columns)
+    return kept.union(docs.where(~worded))

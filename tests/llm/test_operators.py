@@ -64,10 +64,9 @@ def near_copies(seed, n, length, edits):
     return out
 
 
-@pytest.mark.parametrize("small", [64, 2])
-def test_near_duplicates(spark, monkeypatch, small):
-    monkeypatch.setattr(superminhash, "SMALL_BUCKET", small)
-    monkeypatch.setattr(superminhash, "BLOCK", 8)
+@pytest.mark.parametrize("block", [8, 3])
+def test_near_duplicates(spark, monkeypatch, block):
+    monkeypatch.setattr(superminhash, "BLOCK", block)
     texts = near_copies(1, 30, 120, 3) + near_copies(2, 10, 60, 1) + ["A b", "a  B\n", "", None, " \t", "tie tie tie tie tie"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[0]), (700, "x " * 30_000), (99, "tie tie tie tie tie")]
     found = superminhash.near_duplicates(frame(spark, rows), words=3, num=85, den=100).collect()
@@ -83,6 +82,32 @@ def test_near_duplicates(spark, monkeypatch, small):
     assert kept.count() == len(groups)
 
 
+def test_rows_without_words_all_stay(spark):
+    rows = [(None, None), (None, None), (1, ""), (1, ""), (2, " \n"), (3, "a b"), (3, "a b"), (4, "a b")]
+    kept = superminhash.keep_one(frame(spark, rows)).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(str(r) for r in rows[:6])
+
+
+def test_alike_texts_below_the_threshold_make_no_rows_of_pairs(spark, monkeypatch):
+    """A group of texts that are alike, few of them linked: rows staged grow with the group, not its pairs."""
+    made = {}
+    real = superminhash.staged
+
+    def counted(df, label):
+        out = real(df, label)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(superminhash, "staged", counted)
+    n = 150
+    texts = near_copies(3, n, 150, 14)
+    found = superminhash.near_duplicates(frame(spark, list(enumerate(texts))), words=3, num=85, den=100)
+    got = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert got == dict(enumerate(grouped(list(enumerate(texts)), 3, 85, 100)))
+    assert made["pairs"] <= superminhash.PIVOTS * n
+    assert made["block-links"] <= n * superminhash.BANDS
+
+
 def test_empty_near_duplicates(spark):
     assert superminhash.near_duplicates(frame(spark, [])).count() == 0
     assert superminhash.keep_one(frame(spark, [])).count() == 0
