@@ -56,6 +56,33 @@ def salted_join(
     return salted.drop("_parts").join(repeated.drop("_parts"), [*on, "_salt"], how).drop("_salt")
 
 
+# Bits of a filter for each key, and at most: their table has a 64th of so many rows.
+KEY_BITS, FILTER_BITS = 8, 1 << 23
+
+
+def likely(big: DataFrame, keys: DataFrame, on: Sequence[str], n_keys: int) -> DataFrame:
+    """The rows of `big` whose `on` may be among `keys`: all that are, and about one in KEY_BITS others.
+
+    One bit per key hash, in a broadcast table of words of 64 bits whose size `n_keys`
+    bounds. With more keys than FILTER_BITS allow, `big` comes back whole. Nothing of `big`
+    is shuffled.
+    """
+    bits = 1 << 12
+    while bits < KEY_BITS * n_keys:
+        bits *= 2
+    if bits > FILTER_BITS:
+        return big
+    place = F.pmod(F.xxhash64(*on), F.lit(bits))
+    words = (
+        keys.select(place.alias("_at"))
+        .groupBy(F.shiftright("_at", 6).alias("_word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_at") % 64).cast("int"))).alias("_bits"))
+    )
+    at = big.withColumn("_at", place).withColumn("_word", F.shiftright("_at", 6))
+    hit = F.call_function("shiftrightunsigned", F.col("_bits"), (F.col("_at") % 64).cast("int")) % 2 != 0
+    return at.join(F.broadcast(words), "_word").where(hit).select(*big.columns)
+
+
 def broadcast_if_small(df: DataFrame, n_rows: int, n_bytes: int = 0) -> tuple[DataFrame, bool]:
     """Broadcast a table whose measured size is within bounds."""
     small = n_rows <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES

@@ -42,6 +42,7 @@ def allocate(
     mapping: DataFrame | None = None,
     *,
     reserved: DataFrame | None = None,
+    high: DataFrame | None = None,
     secret: str = "",
     digest_chars: int = DIGEST_CHARS,
 ) -> DataFrame:
@@ -54,7 +55,9 @@ def allocate(
     of the digest only say how the numbering is spread: 16**digest_chars
     independent buckets per scope and type, stitched together by their sizes.
 
-    `reserved` lists ordinals the texts already mention; numbering starts above.
+    `reserved` lists ordinals the texts already mention; numbering starts above. `high`
+    holds the highest ordinal of each scope and type, where that is known without reading
+    the whole mapping; `mapping` then only needs the entries of `values`.
     """
     group = ["scope", "pii_type"]
     bucketed = [*group, "_bucket"]
@@ -66,7 +69,9 @@ def allocate(
     new = new.withColumn("_digest", digest)
 
     taken = None
-    if mapping is not None:
+    if high is not None:
+        taken = high.select(*group, "ordinal")
+    elif mapping is not None:
         taken = mapping.select(*group, "ordinal")
     if reserved is not None:
         taken = reserved.select(*group, "ordinal") if taken is None else taken.unionByName(

@@ -21,10 +21,11 @@ from maskline.functions import spans as S
 from maskline.functions import sql as Q
 from maskline.functions.leaves import JsonText, has_text, leaves, rebuilt
 from maskline.operators.detect import BOOST, WINDOW, routed
-from maskline.operators.lookup import salted_join
-from maskline.operators.mapping import MAPPING_COLUMNS, parse_tokens
+from maskline.operators.lookup import likely, salted_join
+from maskline.operators.mapping import MAPPING_COLUMNS, VALUE_KEY, parse_tokens
 from maskline.operators.mapping import allocate as new_entries
 from maskline.sources.staging import stage
+from maskline.sources.token_store import TOKEN_KEY, TokenStore
 
 SPAN_TYPE = "array<struct<path:string,start:int,end:int,entity:string,pii_type:string,value:string>>"
 CORPUS = "corpus"
@@ -182,14 +183,23 @@ def _put_back(
     may_change: Column | None,
     scope: Column,
     hashed,
+    unique: bool = False,
 ) -> DataFrame:
     """Rewrite the columns of `df` by `spans` (row, path, start, end, token).
 
-    Rows that cannot change never meet the join: their texts are not shuffled.
+    Rows that cannot change never meet the join: their texts are not shuffled. With
+    `unique`, two different strings for one place are an error.
     """
-    per_row = spans.groupBy(*ROW).agg(
-        F.array_sort(F.collect_set(F.struct("path", "start", "end", "token"))).alias("_new")
-    )
+    new = F.array_sort(F.collect_set(F.struct("path", "start", "end", "token")))
+    per_row = spans.groupBy(*ROW).agg(new.alias("_new"))
+    if unique:
+        twice = Q.zip_with(
+            "slice(_new, 1, size(_new) - 1)",
+            "slice(_new, 2, size(_new) - 1)",
+            lambda x, y: f"{x}.path = {y}.path and {x}.start = {y}.start",
+        )
+        checked = f"if({Q.exists(twice, lambda hit: hit)}, raise_error('a token stands for two values'), _new)"
+        per_row = per_row.withColumn("_new", F.expr(checked))
     plain = len(columns) == 1 and _is_text(columns[0][1])
 
     def new_text(text: str, path: str) -> str:
@@ -225,7 +235,7 @@ def tokenize(
     typed: dict[str, str] | None = None,
     lang: Column | str = "lang",
     scope: Column | None = None,
-    mapping: DataFrame | None = None,
+    mapping: DataFrame | TokenStore | None = None,
     known: str | None = None,
     visible: DataFrame | None = None,
     entities: Iterable[str] | None = None,
@@ -250,7 +260,9 @@ def tokenize(
     are searched, keys and numbers stay, malformed JSON and repeated keys are errors. The
     `known` column holds array<struct<seq,value,pii_type>> of literal values to
     replace before detection. `scope` separates mappings (default: one for
-    all). With `allocate=False` values the mapping lacks become [TYPE_000].
+    all). With `allocate=False` values the mapping lacks become [TYPE_000]. Of a mapping
+    that is given, only the entries of values found here go any further; a `TokenStore`
+    opens only their buckets.
     Spans matching `visible` on `keep_visible_on` keep their text, though they
     are part of the mapping.
 
@@ -299,28 +311,33 @@ def tokenize(
         if others == "error" and not rest.isEmpty():
             raise ValueError(f"identifiers beyond {entities}: {rest.first()['entity']}")
 
-    new = None
+    if mapping is None and not allocate:
+        raise ValueError("allocate=False needs a mapping to look values up in")
+    new, held, high = None, None, None
+    wanted = spans.where(F.col("value") != "").select(*VALUE_KEY).distinct()
+    if mapping is not None:
+        wanted, n_wanted = stage(wanted, "values")
+        if isinstance(mapping, TokenStore):
+            high = mapping.high_water(wanted)
+            held = mapping.holding(wanted, n_wanted)
+            mapping = mapping.entries()
+        else:
+            held = likely(mapping.select(*MAPPING_COLUMNS), wanted, VALUE_KEY, n_wanted)
+            high = mapping.groupBy("scope", "pii_type").agg(F.max("ordinal").alias("ordinal"))
+        held, _ = stage(held, "held")
     if allocate:
         reserved = None
         if not escape:
             reserved = parse_tokens(found.select(F.col("_scope").alias("scope"), F.explode("_seen").alias("token")))
-        new = new_entries(
-            spans,
-            mapping,
-            reserved=reserved,
-            secret=secret,
-        )
-        full = new if mapping is None else mapping.select(*MAPPING_COLUMNS).unionByName(new)
-    elif mapping is None:
-        raise ValueError("allocate=False needs a mapping to look values up in")
-    else:
-        full = mapping
+        new = new_entries(wanted, held, reserved=reserved, high=high, secret=secret)
+    full = mapping if new is None else new if mapping is None else mapping.select(*MAPPING_COLUMNS).unionByName(new)
+    entries = held if new is None else new if held is None else held.unionByName(new)
     shown = spans
     if visible is not None:
         shown = spans.join(visible, list(keep_visible_on), "left_anti")
     replaced = salted_join(
         shown.select(*ROW, "scope", "path", "start", "end", "pii_type", "value"),
-        full.select("scope", "pii_type", "value", "token"),
+        entries.select("scope", "pii_type", "value", "token"),
         ["scope", "pii_type", "value"],
         spread=["_row_a", "path", "start"],
         how="inner" if allocate else "left",
@@ -349,7 +366,7 @@ def tokenize(
 
 def restore(
     df: DataFrame,
-    mapping: DataFrame,
+    mapping: DataFrame | TokenStore,
     *,
     key: Sequence[str] = ("doc_id",),
     columns: Sequence[str] | None = None,
@@ -358,7 +375,8 @@ def restore(
 ) -> DataFrame:
     """Replace tokens by the values of `mapping`; unknown tokens stay.
 
-    Covers every column with strings in it unless `columns` names some. String columns
+    A token with two different values in its scope is an error. Of the mapping, only the
+    entries of tokens found here are shuffled. Covers every column with strings in it unless `columns` names some. String columns
     that `json` names hold JSON: what is put back is spelled as JSON spells it.
     """
     key = list(key)
@@ -379,21 +397,60 @@ def restore(
     found, n_tokens = stage(
         _with_row(df, key, cells, scope).select(*ROW, scope.alias("scope"), F.expr(f"inline(flatten({located}))")), "tokens"
     )
+    wanted, n_wanted = stage(found.select(*TOKEN_KEY).distinct(), "wanted")
+    if isinstance(mapping, TokenStore):
+        held = mapping.for_tokens(wanted, n_wanted)
+    else:
+        held = likely(mapping.select("scope", "token", "value"), wanted, TOKEN_KEY, n_wanted)
     values = salted_join(
         found,
-        mapping.select("scope", "token", "value"),
+        held.select("scope", "token", "value"),
         ["scope", "token"],
         spread=["_row_a", "path", "start"],
         n_left=n_tokens,
     ).select(*ROW, "path", "start", "end", F.col("value").alias("token"))
     may_change = _any_leaf(cells, S.mentions_token)
-    return _put_back(df, key, cells, values, may_change, scope, cells)
+    return _put_back(df, key, cells, values, may_change, scope, cells, unique=True)
+
+
+# Groups of rows whose digests are added up before single rows are looked at.
+COMPARE_BUCKETS = 4_096
 
 
 def round_trip_differences(
     source: DataFrame, restored: DataFrame, key: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """Rows whose restored cells differ from the source, or that exist on one side only."""
-    a = source.select(*key, F.struct(*columns).alias("_a"))
-    b = restored.select(*key, F.struct(*columns).alias("_b"))
-    return a.join(b, list(key), "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b"))).select(*key)
+    """Keys of rows that are not on both sides equally often, with the same key and cells.
+
+    Keys may be null or repeated. Only digests leave the tables: 128 bits of each row are
+    added up in COMPARE_BUCKETS buckets, and the digests of single rows are counted only in
+    buckets whose sums differ.
+    """
+    key = list(key)
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        parts = [*[F.col(Q.name(c)) for c in [*key, *columns]], *[F.col(Q.name(c)).isNull() for c in [*key, *columns]]]
+        return df.select(
+            *[F.col(Q.name(c)).alias(f"_k{i}") for i, c in enumerate(key)],
+            F.xxhash64(F.lit(0), *parts).alias("_a"),
+            F.xxhash64(F.lit(1), *parts).alias("_b"),
+            F.lit(sign).alias("_sign"),
+        ).withColumn("_bucket", F.pmod("_a", F.lit(COMPARE_BUCKETS)).cast("int"))
+
+    both = side(source, 1).union(side(restored, -1))
+    low = F.lit((1 << 32) - 1)
+    sums = [F.sum(F.col("_sign") * x).alias(n) for n, x in
+            (("_n", F.lit(1)), ("_x", F.col("_a").bitwiseAND(low)), ("_y", F.col("_b").bitwiseAND(low)))]
+    summed = both.groupBy("_bucket").agg(*sums, F.bit_xor("_a").alias("_xa"), F.bit_xor("_b").alias("_xb"))
+    unlike, _ = stage(
+        summed.where("_n <> 0 or _x <> 0 or _y <> 0 or _xa <> 0 or _xb <> 0").select("_bucket"), "unlike"
+    )
+    names = [f"_k{i}" for i in range(len(key))]
+    return (
+        both.join(F.broadcast(unlike), "_bucket")  # COMPARE_BUCKETS rows at most
+        .groupBy(*names, "_a", "_b")
+        .agg(F.sum("_sign").alias("_n"))
+        .where("_n <> 0")
+        .select(*[F.col(n).alias(k) for n, k in zip(names, key)])
+        .distinct()
+    )

@@ -109,7 +109,13 @@ def deliver_to_subjects(
 
 
 def case_scope() -> Column:
-    return F.concat_ws("/", F.col("case_id").cast("string"), F.col("doc_id").cast("string"))
+    """case/doc; slashes and backslashes inside and nulls are spelled so that no two pairs read alike."""
+
+    def part(name: str) -> Column:
+        spelled = F.replace(F.replace(F.col(name).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("/"), F.lit("\\/"))
+        return F.coalesce(spelled, F.lit("\\0"))
+
+    return F.concat(part("case_id"), F.lit("/"), part("doc_id"))
 
 
 def subject_access_artifacts(docs: DataFrame, delivered: DataFrame) -> DataFrame:

@@ -38,15 +38,40 @@ def export_json(mapping: DataFrame, part_size: int = JSON_PART) -> DataFrame:
 def import_json(exported: DataFrame) -> DataFrame:
     """The mapping behind `export_json` rows (all parts), or any (scope, mapping_json).
 
-    Text that is no such JSON is an error, not an empty mapping.
+    Null, text that is no such JSON, an object without `entries`, an entry without token,
+    type or value, a token not of its type's form, and a token listed twice are errors, not
+    an empty or partial mapping. That a token has one value across parts is checked where
+    it is used, by `restore`.
     """
+
+    def refused(why: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{why} in the mapping of scope "), F.coalesce("scope", F.lit("null"))))
+
+    kind = "array<struct<token:string,type:string,value:string>>"
+    entries = F.col("m.entries")
+    whole = F.forall(
+        entries,
+        lambda e: F.coalesce(
+            e["token"].isNotNull() & e["value"].isNotNull() & (e["type"] != "")
+            & (F.regexp_extract(e["token"], r"^\[([A-Z_]+)_\d+\]$", 1) == e["type"]),
+            F.lit(False),
+        ),
+    )
+    once = F.size(F.array_distinct(F.transform(entries, lambda e: e["token"]))) == F.size(entries)
+    checked = (
+        F.when(entries.isNull(), refused("no entries").cast(kind))
+        .when(~whole, refused("malformed entry").cast(kind))
+        .when(~once, refused("repeated token").cast(kind))
+        .otherwise(entries)
+    )
     return (
         exported.select("scope", F.from_json("mapping_json", ENTRIES, {"mode": "FAILFAST"}).alias("m"))
-        .select("scope", F.inline("m.entries"))
+        .select("scope", checked.alias("entries"))
+        .select("scope", F.inline("entries"))
         .select(
             "scope",
             F.col("type").alias("pii_type"),
-            F.regexp_extract("token", r"_(\d+)\]$", 1).try_cast("bigint").alias("ordinal"),
+            F.regexp_extract("token", r"_(\d+)\]$", 1).cast("bigint").alias("ordinal"),
             "token",
             "value",
         )

@@ -1,7 +1,7 @@
 """The same work on streams: detect, tokenize with a growing mapping, restore.
 
-One query may write a mapping store at a time; two writers would hand out the
-same ordinals.
+One query may write a mapping store at a time: a second one that allocated from the same
+state gets an error before it writes any text, and starts its batch again from the new state.
 """
 
 from __future__ import annotations
@@ -9,13 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from maskline.catalog import Detector
 from maskline.operators.detect import detect
-from maskline.operators.mapping import MAPPING_COLUMNS, MAPPING_SCHEMA
 from maskline.operators.tokenize import restore, tokenize
+from maskline.sources.token_store import TokenStore
 
 
 def detect_stream(
@@ -26,11 +25,17 @@ def detect_stream(
     *,
     key: Sequence[str] = ("doc_id",),
     lang: Column | str = "lang",
-    **trigger,
+    trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Findings of a message stream, appended to a Parquet folder. Stateless."""
+    """Findings of a message stream, appended to a Parquet folder. Stateless.
+
+    `options` go to `detect`. Unless they say otherwise, a message in a language without
+    detectors is searched with the common ones: an error would end the stream for good.
+    """
+    options.setdefault("unknown_lang", "cross")
     return (
-        detect(messages, rows, key=key, lang=lang)
+        detect(messages, rows, key=key, lang=lang, **options)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -39,25 +44,22 @@ def detect_stream(
     )
 
 
-def stored_mapping(spark: SparkSession, store: str, before_batch: int | None = None) -> DataFrame:
-    """The mapping a stream has written, optionally as it was before a batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(store)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], MAPPING_SCHEMA)
-    stored = spark.read.schema(MAPPING_SCHEMA + ", batch_id bigint").parquet(store)
-    if before_batch is not None:
-        stored = stored.where(F.col("batch_id") < before_batch)
-    return stored.select(*MAPPING_COLUMNS)
+def stored_mapping(spark: SparkSession, store: str) -> DataFrame:
+    """The mapping a stream has written."""
+    return TokenStore(spark, store).entries()
 
 
 def tokenize_batch(
     messages: DataFrame, batch_id: int, rows: Sequence[Detector], store: str, out: str, **options
 ) -> None:
-    """One micro-batch. A replay sees the same earlier mapping, so it writes the same tokens."""
-    spark = messages.sparkSession
-    earlier = stored_mapping(spark, store, batch_id)
+    """One micro-batch. A replay sees the same earlier mapping, so it writes the same tokens.
+
+    Only the buckets of the mapping that hold the batch's values are read.
+    """
+    kept = TokenStore(messages.sparkSession, store)
+    earlier, version = kept.extend(batch_id, out)
     result = tokenize(messages, rows, mapping=earlier, **options)
-    result.new.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+    kept.commit(result.new, version, writer=out, batch=batch_id)
     result.table.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
 
@@ -97,10 +99,10 @@ def restore_stream(
     scope: Column | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Restore a stream of replies; every batch reads the mapping as it is by then."""
+    """Restore a stream of replies; every batch looks its tokens up in the mapping as it is by then."""
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        mapping = stored_mapping(batch.sparkSession, store)
+        mapping = TokenStore(batch.sparkSession, store)
         restore(batch, mapping, key=key, columns=columns, scope=scope).write.mode("overwrite").parquet(
             f"{out}/batch_id={batch_id}"
         )
