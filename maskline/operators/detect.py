@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from maskline.catalog import CROSS_LANGUAGE, ENTITY_OF_TYPE, TYPE_OF_ENTITY, Detector, only
 from maskline.functions import spans as S
 from maskline.functions import sql as Q
+from maskline.operators.lookup import salted_join
 
 BOOST = 0.35
 WINDOW = 5
@@ -91,6 +92,31 @@ def detect(
     )
 
 
+def detect_distinct(
+    docs: DataFrame,
+    rows: Iterable[Detector],
+    *,
+    key: Sequence[str] = ("doc_id",),
+    text: str = "text",
+    lang: Column | str = "lang",
+    unknown_lang: str = "error",
+    **options,
+) -> DataFrame:
+    """`detect` for tables with many copies: every text is searched once for each language.
+
+    Only texts that pass the first hints travel, one of each per task at most; the findings
+    come back to the rows by 128 bits of text and language, with hot texts salted.
+    """
+    rows = list(rows)
+    _, strange, gates = routed(lang, rows, unknown_lang)
+    digests = {f"_text_{i}": F.xxhash64(F.lit(i), F.col(text), as_column(lang)) for i in (0, 1)}
+    open_texts = docs.where(F.expr(S.gated(Q.name(text), gates)) | strange).withColumns({**digests, "_spoken": as_column(lang)})
+    once = open_texts.groupBy(*digests, "_spoken").agg(F.any_value(Q.name(text)).alias("_text"))
+    found = detect(once, rows, key=list(digests), text="_text", lang="_spoken", unknown_lang=unknown_lang, **options)
+    columns = [c for c in found.columns if c not in digests]
+    return salted_join(open_texts.select(*key, *digests), found, list(digests), spread=list(key)).select(*key, *columns)
+
+
 def look_alikes(
     docs: DataFrame,
     rows: Iterable[Detector],

@@ -4,35 +4,91 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskline.operators.lookup import broadcast_if_small, salted_join
+from maskline.functions import sql as Q
+from maskline.operators.lookup import broadcast_if_small, likely, salted_join
 from maskline.sources.staging import stage
 
 KNOWN = "_known"
+# Lists up to this length go to their rows whole; of longer ones a row gets what it may hold.
+LIST_VALUES = 64
+# Lengths of the substrings by which values of long lists are found; a value has the longest that fits.
+GRAMS = (16, 8, 4, 2, 1)
+ROW = ["_known_a", "_known_b"]
 
 
 def attach_known(
-    df: DataFrame, known: DataFrame, on: Sequence[str], *, spread: Sequence[str]
+    df: DataFrame, known: DataFrame, on: Sequence[str], *, spread: Sequence[str], texts: Sequence[str] = ("text",)
 ) -> DataFrame:
-    """Add the `_known` array of each row's group (a case, a scope), in list order.
+    """Add the `_known` array of values that each row's `texts` may hold, in list order.
 
-    `known` holds `on`, value, pii_type and seq. Lists of measured, small size
-    are broadcast; otherwise a group with very many rows is salted.
+    `known` holds `on`, value, pii_type and seq; `on` names the columns that tell a row its
+    list (a case, a scope; none: one list for all). Short lists go to their rows whole,
+    broadcast when their measured size is small, else joined with hot groups salted.
+
+    No row gets a list longer than that: each value is filed under one of its substrings
+    (of the longest length in GRAMS that fits, the one that fewest values share). A text's
+    substrings meet a bit filter of the filed ones where they are cut, what is left meets the
+    list by an equi-join, and a row collects only values whose substring it holds.
     """
-    lists = known.groupBy(*on).agg(
-        F.array_sort(F.collect_set(F.struct("seq", "value", "pii_type"))).alias(KNOWN)
+    on = list(on)
+    listed, n_values = stage(
+        known.where("value is not null and value <> ''").select(*on, "seq", "value", "pii_type").distinct(), "known-values"
     )
+    longest = listed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if on and longest <= LIST_VALUES:
+        return _whole_lists(df, listed, on, spread)
+    return _by_substrings(df, listed, n_values, on, texts)
+
+
+def _in_order() -> Column:
+    return F.array_sort(F.collect_set(F.struct("seq", "value", "pii_type"))).alias(KNOWN)
+
+
+def _whole_lists(df: DataFrame, listed: DataFrame, on: list[str], spread: Sequence[str]) -> DataFrame:
+    lists = listed.groupBy(*on).agg(_in_order())
     n_bytes = F.expr(f"aggregate({KNOWN}, 0L, (n, k) -> n + octet_length(k.value) + 64)")
     lists, n_bytes_total = stage(lists, "known", n_bytes)
     n_rows = -(-n_bytes_total // 64)
     lists, small = broadcast_if_small(lists, n_rows, n_bytes_total)
     if small:
-        return df.join(lists, list(on), "left")
+        return df.join(lists, on, "left")
     return salted_join(df, lists, on, spread, "left")
 
 
+def _grams(text: str, size: int) -> str:
+    """Hashes of all substrings of a length, from one pass of a pattern."""
+    pattern = Q.text(rf"(?s)(?=(.{{{size}}}))")
+    return Q.transform(f"regexp_extract_all({text}, {pattern}, 1)", lambda g: f"xxhash64({size}, {g})")
+
+
+def _by_substrings(df: DataFrame, listed: DataFrame, n_values: int, on: list[str], texts: Sequence[str]) -> DataFrame:
+    size = "case " + " ".join(f"when length(value) >= {n} then {n}" for n in GRAMS) + " end"
+    used = sorted(r[0] for r in listed.select(F.expr(size)).distinct().collect())
+    if not used:
+        return df.withColumn(KNOWN, F.lit(None).cast("array<struct<seq:int,value:string,pii_type:string>>"))
+    own = f"case {size} " + " ".join(f"when {n} then {_grams('value', n)}" for n in used) + " end"
+    entry = [*on, "seq", "value", "pii_type"]
+    cut = listed.select(*entry, F.explode(F.expr(own)).alias("_gram"))
+    shared = cut.select("value", "_gram").distinct().groupBy("_gram").agg(F.count(F.lit(1)).alias("n"))
+    filed = cut.join(shared, "_gram").groupBy(*entry).agg(F.min(F.struct("n", "_gram"))["_gram"].alias("_gram"))
+    filed, _ = stage(filed, "known-filed")
+
+    strings = f"array({', '.join(f'coalesce({Q.name(t)}, {Q.text(str())})' for t in texts)})"
+    every = Q.transform(strings, lambda s: f"concat({', '.join(_grams(s, n) for n in used)})")
+    keyed = df.withColumns({name: F.xxhash64(F.lit(i), *on, *texts) for i, name in enumerate(ROW)})
+    pieces = keyed.select(*ROW, *on, F.explode(F.expr(f"array_distinct(flatten({every}))")).alias("_gram"))
+    by = [*on, "_gram"]
+    near, n_near = stage(likely(pieces, filed, by, n_values), "known-near")
+    hits = salted_join(near, filed, by, spread=ROW, n_left=n_near)
+    per_row, n_rows = stage(hits.groupBy(*ROW).agg(_in_order()), "known-rows")
+    n_bytes = per_row.agg(F.sum(F.expr(f"aggregate({KNOWN}, 64L, (n, k) -> n + octet_length(k.value) + 64)"))).first()[0] or 0
+    per_row, _ = broadcast_if_small(per_row, n_rows, n_bytes)
+    return keyed.join(per_row, ROW, "left").drop(*ROW)
+
+
 def as_values(known: DataFrame, scope: str = "scope") -> DataFrame:
     """Known values as input of an allocation, to give them tokens before any text is seen."""
     return known.select(F.col(scope).alias("scope"), "pii_type", "value")

@@ -111,11 +111,31 @@ def leading_scores(
 
     Documents are scored where they are read against the query terms, whose size is
     checked, and a partition hands on its own k best per query only: neither texts nor
-    (query, document) pairs are shuffled. Beyond that size all pairs are scored by joins.
+    (query, document) pairs are shuffled. Queries whose terms exceed that size are dealt by
+    their hash into blocks that do not, and the documents are read once for each block.
     """
     terms, n_bytes = _query_terms(queries, query_id, text)
-    if n_bytes > min(BROADCAST_BYTES, BROADCAST_ROWS * ROW_BYTES):
-        return _all_scores(terms, n_bytes, docs, query_id, doc_id, text)
+    limit = min(BROADCAST_BYTES, BROADCAST_ROWS * ROW_BYTES)
+    blocks = 1 if n_bytes <= limit else -(-2 * n_bytes // limit)  # half full, so that none runs over
+    if blocks == 1:
+        return _block_scores(terms, queries, docs, k, query_id, doc_id, text)
+    block = F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int")
+    sized = terms.groupBy(block.alias("b")).agg(F.sum(F.octet_length("term") + ROW_BYTES).alias("n")).collect()  # a row per block
+    found = None
+    for row in sorted(sized):
+        part = terms.where(block == row["b"])
+        if row["n"] > limit:  # a few queries with very many words
+            more = _all_scores(part, row["n"], docs, query_id, doc_id, text)
+        else:
+            more = _block_scores(part, queries, docs, k, query_id, doc_id, text)
+        found = more if found is None else found.union(more)
+    return found
+
+
+def _block_scores(
+    terms: DataFrame, queries: DataFrame, docs: DataFrame, k: int, query_id: str, doc_id: str, text: str
+) -> DataFrame:
+    """The k best documents of each partition for queries whose terms are few enough to send along."""
     schema = T.StructType(
         [
             T.StructField(query_id, queries.schema[query_id].dataType),

@@ -61,6 +61,7 @@ NAMES_SQL = (
     f"SELECT c_custkey AS case_id, {NAME.format('c_custkey + 1')} AS name, 1 AS seq FROM customer UNION ALL "
     f"SELECT c_custkey, {NAME.format('c_custkey + 2')}, 2 FROM customer"
 )
+ALL_NAMES_SQL = f"SELECT {NAME.format('c_custkey')} AS name, min(c_custkey) AS seq FROM customer GROUP BY 1"
 # Spanish texts stand in for Polish ones where routing by language is shown.
 ROUTED_SQL = "SELECT doc_id, case when lang = 'es' then 'pl' else lang end AS lang, text FROM documents"
 LANGUAGES_SQL = (

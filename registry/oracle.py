@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from registry.inputs import (
+    ALL_NAMES_SQL,
     CALLS_SQL,
     CASES_SQL,
     EVERYTHING_SQL,
@@ -494,6 +495,13 @@ full_map AS (SELECT * FROM old UNION ALL SELECT * FROM fresh)""",
         "SELECT doc_id, text FROM done",
     ),
     "tokenize_custom": q(tokenized(NOTES_SQL, [*POLISH, "customer_id"]), "SELECT doc_id, text FROM done"),
+    "known_long_list": q(
+        _NAME_SPANS.replace(f"names AS ({NAMES_SQL})", f"names AS (SELECT case_id, name FROM ({CASES_SQL}), ({ALL_NAMES_SQL}) WHERE contains(text, name) GROUP BY ALL)")
+        + "," + numbering("SELECT pii_type, value FROM name_spans") + "," + rewriting(
+            "SELECT doc_id, s, s + length(value) AS e, token FROM name_spans JOIN map USING (pii_type, value)"
+        ),
+        "SELECT doc_id, text FROM done",
+    ),
     "restore_documents": "SELECT doc_id, lang, text FROM documents",
     "restore_from_saved": q(f"src AS ({NOTES_SQL})", "SELECT doc_id, text FROM src"),
     "restore_table": TYPED_SQL,
@@ -599,6 +607,9 @@ full_map AS (SELECT * FROM old UNION ALL SELECT * FROM fresh)""",
     ),
     "stream_detect": q(findings(DOCUMENTS_SQL, CROSS, **ALL_OPTIONS), f"SELECT {FINDING} FROM f"),
     "stream_tokenize": q(_DOC_TOKENS, "SELECT doc_id, lang, text FROM done"),
+    "stream_batches": "SELECT doc_id, lang, text FROM documents",
+    "detect_copies": q(findings(ROUTED_SQL, POLISH, **ALL_OPTIONS), f"SELECT {FINDING} FROM f"),
+    "round_trip_unkeyed": "SELECT CAST(0 AS BIGINT) AS differences",
     "stream_restore": "SELECT doc_id, lang, text FROM documents",
 }
 SQL |= {

@@ -18,6 +18,7 @@ from maskline.operators.tokenize import restore, round_trip_differences, tokeniz
 from maskline.plans import jobs as P
 from maskline.sources import documents as IO
 from maskline.sources import mapping_store as V
+from maskline.sources.token_store import TokenStore
 from maskline.sources.staging import new_path, stage
 from maskline.streaming import jobs as G
 from registry import inputs as I
@@ -181,6 +182,11 @@ def detect_multilingual(spark, sf):
     return found(D.detect(I.derived(spark, sf, I.ROUTED_SQL), ALL))
 
 
+def detect_copies(spark, sf):
+    """The same findings, with every distinct text searched once."""
+    return found(D.detect_distinct(I.derived(spark, sf, I.ROUTED_SQL), ALL))
+
+
 def detect_languages(spark, sf):
     """The same numbers are findings in Polish and none elsewhere; no or another language gets the common detectors."""
     return found(D.detect(I.derived(spark, sf, I.LANGUAGES_SQL), C.detectors(["pl", "en"]), unknown_lang="cross"))
@@ -320,6 +326,13 @@ def known_after(spark, sf):
     return tokenize(listed, POLISH, known=KNOWN, known_first=False).table.select("doc_id", "text")
 
 
+def known_long_list(spark, sf):
+    """All customers' names as one list for all texts; no row gets the list."""
+    names = I.derived(spark, sf, I.ALL_NAMES_SQL).select(F.col("name").alias("value"), F.lit("PERSON").alias("pii_type"), "seq")
+    listed = attach_known(I.cases(spark, sf), names, [], spread=["doc_id"])
+    return tokenize(listed, [], known=KNOWN).table.select("doc_id", "text")
+
+
 def tokenize_unkeyed(spark, sf):
     """Keys that are null or repeated."""
     return tokenize(I.derived(spark, sf, I.UNKEYED_SQL), CROSS).table.select("doc_id", "text")
@@ -382,6 +395,16 @@ def round_trip_check(spark, sf):
     return wrong.agg(F.count(F.lit(1)).alias("differences"))
 
 
+def round_trip_unkeyed(spark, sf):
+    """Keys that are null or repeated do not show as differences."""
+    source = I.derived(spark, sf, I.UNKEYED_SQL)
+    result = tokenize(source, CROSS)
+    table, _ = stage(result.table, "tokenized")
+    mapping, _ = stage(result.mapping, "mapping")
+    wrong = round_trip_differences(source, restore(table, mapping, columns=["text"]), ["doc_id"], ["text"])
+    return wrong.agg(F.count(F.lit(1)).alias("differences"))
+
+
 # --- nested JSON ---------------------------------------------------------------------
 
 
@@ -579,6 +602,18 @@ def stream_restore(spark, sf):
     return spark.read.parquet(restored).select("doc_id", "lang", "text")
 
 
+def stream_batches(spark, sf):
+    """A stream in several batches whose mapping grows, is merged into buckets and restores every text."""
+    source, store, out = (new_path(spark, x) for x in ("stream-source", "stream-mapping", "stream-documents"))
+    docs = I.documents(spark, sf)
+    docs.repartition(4, "doc_id").write.parquet(source)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    G.tokenize_stream(stream, CROSS, store, out, new_path(spark, "checkpoint")).awaitTermination()
+    kept = TokenStore(spark, store)
+    kept.compact()
+    return restore(spark.read.parquet(out).select("doc_id", "lang", "text"), kept, columns=["text"])
+
+
 def stream_literals(spark, sf):
     """A stream of texts that mention tokens the stream itself hands out."""
     texts, _ = stage(I.derived(spark, sf, I.LITERALS_SQL), "literals")
@@ -605,7 +640,7 @@ QUERIES: dict[str, Query] = {
         restore_json, tokenize_payloads, restore_payloads, tokenize_json_numbers, audit_report, audit_summary, audit_total, audit_diff, audit_rejected,
         audit_overlaps, bag_of_words, cosine_scores, retrieve_topk, tokenize_queries, build_prompts, batch_corpus,
         retrieval_with_redaction, subject_access, subject_access_artifacts, customer_files, stream_detect,
-        stream_tokenize, stream_restore,
+        stream_tokenize, stream_restore, stream_batches, detect_copies, known_long_list, round_trip_unkeyed,
     )
 }
 QUERIES |= {
