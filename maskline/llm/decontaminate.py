@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows (operator 6).
 
 Every window of a text that is as long as a benchmark item is held against the items
-of that length:
+of that length, and a text shorter than an item as a whole:
 
 1. Windows with too few of the items' shingles cannot reach the similarity. A bit table
    of TABLE_BITS bits (its size never grows) holds the items' shingles, marked with the
@@ -87,8 +87,8 @@ def find_leaks(
     similarity is that of the best window, start the word it begins at (the first of
     equals). Words are lower-cased (A-Z) and lose ASCII punctuation. Items without words
     match nothing; an item with fewer words than a shingle is one shingle. Null keys are
-    kept as such; rows that share a key are reported as one. Texts shorter than an item
-    cannot contain it. Other columns are not carried.
+    kept as such; rows that share a key are reported as one. A text shorter than an item is
+    held against it as a whole. Other columns are not carried.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -141,7 +141,7 @@ def find_leaks(
         short = [n for n in sizes if n < words]
         for k, t in zip(keys, texts):
             split = _words(t)
-            if not split or not sizes or len(split) < sizes[0]:
+            if not split or not sizes:
                 continue
             hashes = names.of(split)
             long = shingle_hashes(hashes, words) if len(split) >= words else hashes[:0]
@@ -149,7 +149,14 @@ def find_leaks(
             likely = fewest and int(any_hit.sum()) >= fewest
             for length in sizes:
                 if length > len(split):
-                    break
+                    # the whole text, if it has shingles enough for the similarity
+                    span = length - words + 1
+                    if len(long) < least * span:
+                        break
+                    common = math.ceil(least * (len(long) + span) / (1 + least) - 1e-9)
+                    if int(hit(_slot(long, length)).sum()) >= common:
+                        out.append((k, length, 0, simhash(*_bag(long)), long.view(np.int64)))
+                    continue
                 if length >= words:
                     if not likely:
                         continue

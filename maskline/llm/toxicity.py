@@ -274,7 +274,7 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
             good = [(a, b, s, m.size * n * float(np.exp(-m.rate * s))) for a, b, s in own]
             good = [g for g in good if g[3] <= SIGNIFICANT]
             if good:
-                at = [x.span() for x in _TOKEN.finditer(t.lower())]
+                at = _places(t)
                 good = [{"start": at[a][0], "end": at[b - 1][1], "score": s, "expect": e} for a, b, s, e in good]
             listed.append(good)
         return keys, scores, [int(s >= 0.5) for s in scores], listed
@@ -284,6 +284,18 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
     return out.withColumnRenamed("key", key)
 
 
+def _places(text: str) -> list[tuple[int, int]]:
+    """Start and end in the text of the tokens of its lower-cased form, which may be longer."""
+    low = text.lower()
+    spans = [x.span() for x in _TOKEN.finditer(low)]
+    if len(low) == len(text):
+        return spans
+    origin = [i for i, c in enumerate(text) for _ in c.lower()]
+    if len(origin) != len(low):  # a letter that changes with its neighbours
+        return spans
+    return [(origin[a], origin[b - 1] + 1) for a, b in spans]
+
+
 def drop_toxic(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """The rows, with all columns, whose text scores below one half."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
