@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskline.llm import decontaminate, extract, toxicity, vptree
+from maskline.llm import bpe, decontaminate, extract, queries, tokencounts, toxicity, vptree
 
 
 def main_of(body):
@@ -87,3 +87,16 @@ def test_places_are_those_of_the_text_itself():
     text = "İİ bad words"
     spans = toxicity._places(text)
     assert [text[a:b] for a, b in spans][-2:] == ["bad", "words"]
+
+
+def test_redactions_count_as_the_redacted_texts_do(spark):
+    texts = ["mail a.b@c.de, +48 600700800", "x" * 70 + "@long.example.org 12345", None, "", "a1234567 1234567@x.pl.", "1 22 333 " * 9_000 + "z@y.x " * 3_000]
+    rows = [(i, t, "extra") for i, t in enumerate(texts)] + [(None, texts[0], "extra"), (0, texts[0], "extra")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, edits string")
+    library = bpe.codec(open(queries.byte_bpe(), encoding="utf-8").read())
+    count = lambda t: sum(len(library.ids(w)) for w in library.words(t))
+    found = tokencounts.count_edited(queries.redactions(docs), queries.byte_bpe()).collect()
+    expected = [(i, count(t or ""), count(queries.REDACTED.sub("[REDACTED]", t or ""))) for i, t, _ in rows]
+    assert sorted(((r["doc_id"], r["n_tokens_before"], r["n_tokens"]) for r in found), key=str) == sorted(expected, key=str)
+    assert queries.REDACTED.sub("#", texts[1]) == "# 12345" and queries.REDACTED.sub("#", texts[4]) == "a# #"
+    assert tokencounts.count_edited(queries.redactions(docs.limit(0)), queries.byte_bpe()).count() == 0
