@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from maskline.functions import checksums
 
@@ -49,6 +50,9 @@ _EDGE = r"(?<![\p{L}\p{N}_])"
 _DIGIT_EDGE = r"(?=\d)" + _EDGE
 _END = r"(?![\p{L}\p{N}_])"
 
+_LETTER = r"\p{L}\p{M}"
+_ADDRESS = _LETTER + r"0-9._%+-"
+
 PATTERNS = {
     "pl_pesel": rf"{_DIGIT_EDGE}\d{{11}}{_END}",
     "pl_nip": rf"{_DIGIT_EDGE}(?:\d{{10}}|\d{{3}}-\d{{3}}-\d{{2}}-\d{{2}}|\d{{3}}-\d{{2}}-\d{{2}}-\d{{3}}){_END}",
@@ -63,7 +67,8 @@ PATTERNS = {
     # match ended): a long run without "@" is then read once, not once per start.
     # The domain repeats one character, not a label group, because Java matches
     # repeated groups of varying length recursively and runs out of stack.
-    "email": r"(?=[A-Za-z0-9._%+-])(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
+    # Letters of any script count, or half of an address would stay in the text.
+    "email": rf"(?=[{_ADDRESS}])(?:\G|(?<![{_ADDRESS}]))[{_ADDRESS}]++@[{_LETTER}0-9-](?:(?!\.\.)[{_LETTER}0-9.-])*\.[{_LETTER}]{{2,}}",
     "credit_card": rf"{_DIGIT_EDGE}(?:\d{{13,19}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{4}}){_END}",
 }
 
@@ -168,6 +173,9 @@ def custom_detector(
     hint: Sequence[str] = (),
 ) -> Detector:
     """A caller's own detector; `regex` uses Java syntax and must not match ''."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.range(1).select(F.rlike(F.lit(""), F.lit(regex))).first()[0]:
+        raise ValueError(f"the pattern of {name!r} matches an empty text")
     return Detector(
         name, pii_type, entity or pii_type, lang, regex, score, tuple(context), valid, tuple(hint)
     )
@@ -190,7 +198,7 @@ def only(rows: Iterable[Detector], entities: Iterable[str]) -> list[Detector]:
     known = {d.entity for d in rows}
     for entity in wanted:
         if entity not in known:
-            raise ValueError(f"unsupported entity {entity!r}; supported: {sorted(known)}")
+            raise ValueError(f"no detector finds {entity!r}, only {sorted(known)}")
     return [d for d in rows if d.entity in wanted]
 
 

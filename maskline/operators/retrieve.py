@@ -280,8 +280,12 @@ def build_prompts(
     template: str = PROMPT,
 ) -> DataFrame:
     """(query_id, prompt): the question and its hits in rank order."""
-    staged, n_hits = stage(hits.select(query_id, "rank", doc_id), "hits")
-    staged, _ = broadcast_if_small(staged, n_hits)
+    hits = hits.select(query_id, "rank", doc_id)
+    width = F.lit(ROW_BYTES)
+    for name in (query_id, doc_id):
+        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    staged, n_bytes = stage(hits, "hits", width)
+    staged, _ = broadcast_if_small(staged, n_bytes // ROW_BYTES, n_bytes)
     context = (
         docs.select(doc_id, F.col(text).alias("_hit")).join(staged, doc_id)
         .groupBy(query_id)

@@ -9,8 +9,10 @@ a cheap test says it may hold something to replace.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -239,7 +241,7 @@ def tokenize(
     known: str | None = None,
     visible: DataFrame | None = None,
     entities: Iterable[str] | None = None,
-    others: str = "mask",
+    others: str | Mapping[str, str | Callable[[Column], Column]] = "mask",
     min_score: float | None = None,
     unknown_lang: str = "error",
     known_first: bool = True,
@@ -268,7 +270,9 @@ def tokenize(
 
     With `entities` only those get tokens. `others` says what becomes of the rest:
     `mask` puts <ENTITY> in their place for good, `error` raises, `keep` does not look
-    for them. Findings below `min_score` are none. `unknown_lang` is that of `routed`.
+    for them. A dict says so entity by entity (those it leaves out are masked); there, a
+    function from the value's column to a string column puts its result in the place: a
+    keyed digest, the last four digits. What it makes is not restored. Findings below `min_score` are none. `unknown_lang` is that of `routed`.
     With `known_first=False` known values are looked for in what detection left over.
 
     Token strings that the texts already hold get tokens of the type LITERAL, so that
@@ -279,16 +283,22 @@ def tokenize(
     rows = list(rows)
     typed = dict(typed or {})
     key = list(key)
-    if others not in ("mask", "error", "keep"):
-        raise ValueError(f"others must be mask, error or keep, not {others!r}")
+    fates = dict(others) if isinstance(others, Mapping) else {}
+    fallback = "mask" if isinstance(others, Mapping) else others
+    for fate in (fallback, *fates.values()):
+        if not callable(fate) and fate not in ("mask", "error", "keep"):
+            raise ValueError(f"others must be mask, error or keep, not {fate!r}")
     if literals not in ("escape", "keep"):
         raise ValueError(f"literals must be escape or keep, not {literals!r}")
     escape = literals == "escape" and allocate
     if entities is not None:
         entities = list(entities)
         chosen = only(rows, entities)
-        if others == "keep":
+        only(rows, fates)  # names that no detector has are errors here, too
+        fates = {e: fate for e, fate in fates.items() if e not in entities}
+        if fallback == "keep":
             rows = chosen
+        rows = [d for d in rows if fates.get(d.entity) != "keep"]
     free_text = list(dict.fromkeys([*free_text, *json]))
     scope = F.lit(CORPUS) if scope is None else F.coalesce(scope, F.raise_error("null scope").cast("string"))
     found, n_spans = stage(
@@ -308,8 +318,10 @@ def tokenize(
         whole = F.col("path").isin([str(i) for i in range(len(typed))]) if typed else F.lit(False)
         other = F.col("entity").isin(found_by) & ~whole
         rest, spans = spans.where(other), spans.where(~other)
-        if others == "error" and not rest.isEmpty():
-            raise ValueError(f"identifiers beyond {entities}: {rest.first()['entity']}")
+        refused = [e for e in found_by if fates.get(e, fallback) == "error"]
+        wrong = rest.where(F.col("entity").isin(refused)).first() if refused else None
+        if wrong is not None:
+            raise ValueError(f"identifiers beyond {entities}: {wrong['entity']}")
 
     if mapping is None and not allocate:
         raise ValueError("allocate=False needs a mapping to look values up in")
@@ -347,19 +359,33 @@ def tokenize(
     )
 
     places = [*ROW, "path", "start", "end", "token"]
-    if rest is not None and others == "mask":
-        masks = rest.withColumn("token", F.concat(F.lit("<"), "entity", F.lit(">")))
+    if rest is not None:
+        written = F.concat(F.lit("<"), "entity", F.lit(">"))
+        for entity, fate in fates.items():
+            if callable(fate):
+                written = F.when(F.col("entity") == entity, fate(F.col("value"))).otherwise(written)
+        masks = rest.withColumn("token", written)
         replaced = replaced.select(*places).unionByName(masks.select(*places))
 
     columns = [
         c for c in _columns(df, [*typed, *free_text], json) if c[0] not in typed or _is_text(c[1])
     ]
     may_change = None
-    if known is None and not typed and all(d.hint for d in rows):
-        may_change = _any_leaf(
-            columns,
-            lambda text: f"({S.hinted(text, rows)} or {S.mentions_token(text)})" if escape else S.hinted(text, rows),
-        )
+    if all(d.hint for d in rows):
+
+        def open_text(text: str) -> str:
+            tests = [S.hinted(text, rows)]
+            if escape:
+                tests.append(S.mentions_token(text))
+            if known is not None:
+                tests.append(Q.exists(Q.name(known), lambda k: f"contains({text}, {k}.value)"))
+            return f"({' or '.join(f'coalesce({t}, false)' for t in tests)})"
+
+        tests = [F.expr(f"coalesce({Q.name(n)} != '', false)") for n, _, _ in columns if n in typed]
+        searched = [c for c in columns if c[0] not in typed]
+        if searched:
+            tests.append(_any_leaf(searched, open_text))
+        may_change = reduce(or_, tests) if tests else None
     hashed = _columns(df, [*typed, *free_text], json)
     return Tokenized(_put_back(df, key, columns, replaced, may_change, scope, hashed), full, spans.drop(*ROW), new)
 

@@ -74,7 +74,7 @@ DETECTORS: dict[str, tuple[str, str, float, list[str], str, str]] = {
     "pl_postal_code": ("PL_POSTAL_CODE", "PL_POSTAL_CODE", 0.4, ["kod", "pocztowy"], r"\b\d{2}-\d{3}\b", "true"),
     "email": (
         "EMAIL_ADDRESS", "EMAIL", 0.4, ["email", "e-mail", "mail"],
-        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "true",
+        r"[\p{L}\p{M}0-9._%+-]+@[\p{L}\p{M}0-9-]+(?:\.[\p{L}\p{M}0-9-]+)*\.[\p{L}\p{M}]{2,}", "true",
     ),
     "credit_card": (
         "CREDIT_CARD", "CREDIT_CARD", 0.85, ["card", "karta", "credit"],
@@ -397,6 +397,14 @@ SQL: dict[str, str] = {
         ),
         "SELECT doc_id, text FROM done",
     ),
+    "tokenize_others_by_entity": q(
+        kept(NOTES_SQL, POLISH) + "," + numbering("SELECT pii_type, value FROM k WHERE entity = 'PL_PESEL'") + "," + rewriting(
+            "SELECT doc_id, s, e, CASE entity WHEN 'PL_PESEL' THEN token WHEN 'CREDIT_CARD' THEN '****' || right(value, 4) "
+            "WHEN 'EMAIL_ADDRESS' THEN sha256('salt:' || value) ELSE '<' || entity || '>' END AS token "
+            "FROM k LEFT JOIN map USING (pii_type, value)"
+        ),
+        "SELECT doc_id, text FROM done",
+    ),
     "tokenize_threshold": q(
         nested("f0", findings(NOTES_SQL, POLISH_ALL), "SELECT * FROM f WHERE score >= 0.75") + ","
         + kept(NOTES_SQL, POLISH_ALL).replace("FROM f GROUP BY", "FROM f0 GROUP BY") + ","

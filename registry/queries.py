@@ -167,6 +167,16 @@ def tokenize_others_masked(spark, sf):
     ).table.select("doc_id", "text")
 
 
+def tokenize_others_by_entity(spark, sf):
+    """Card numbers keep their last four digits, e-mail addresses become digests, other findings are masked."""
+    actions = {
+        "CREDIT_CARD": lambda v: F.concat(F.lit("****"), F.substring(v, -4, 4)),
+        "EMAIL_ADDRESS": lambda v: F.sha2(F.concat(F.lit("salt:"), v), 256),
+    }
+    result = tokenize(I.notes(spark, sf), POLISH, entities=["PL_PESEL"], others=actions)
+    return result.table.select("doc_id", "text")
+
+
 def tokenize_threshold(spark, sf):
     return tokenize(I.notes(spark, sf), POLISH_ALL, min_score=0.75).table.select("doc_id", "text")
 
@@ -464,6 +474,8 @@ def audit_diff(spark, sf):
     notes = I.notes(spark, sf)
     before = D.detect(notes, C.excluding(POLISH, ["CREDIT_CARD"]))
     after = D.detect(notes, C.with_context(POLISH_ALL, {"pl_pesel": []}))
+    columns = ["doc_id", "entity", "start", "end", "score"]
+    (before, _), (after, _) = (stage(x.select(*columns), "report") for x in (before, after))
     return A.diff(before, after).select(
         "doc_id", "entity", F.col("start").cast("bigint"), F.col("end").cast("bigint"), "change",
         F.round("score_before", 6).alias("score_before"), F.round("score_after", 6).alias("score_after"),
@@ -631,7 +643,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         read_documents, read_table, write_documents, mapping_export, mapping_import, mapping_vault, write_report,
         findings_per_detector, detect_opt_in, findings_relabelled, context_override, detect_custom,
-        detect_excluding, tokenize_whitelist, tokenize_others_masked, tokenize_threshold, detect_languages, known_after,
+        detect_excluding, tokenize_whitelist, tokenize_others_masked, tokenize_others_by_entity, tokenize_threshold, detect_languages, known_after,
         tokenize_unkeyed, tokenize_literals, stream_literals, detect_all, detect_multilingual, detect_offsets, detect_rejected,
         context_boost, score_threshold, entity_filter, resolve_overlaps, findings_sorted, allocate_tokens,
         allocate_ordinals, extend_mapping, preseed_values, allocate_per_document, mapping_size, token_consistency,

@@ -40,7 +40,7 @@ def test_entities_and_types_are_one_to_one():
 
 
 def test_unknown_entity_is_an_error():
-    with pytest.raises(ValueError, match="unsupported entity 'US_SSN'"):
+    with pytest.raises(ValueError, match="no detector finds 'US_SSN'"):
         C.only(C.detectors(), ["US_SSN"])
 
 

@@ -208,3 +208,41 @@ def test_a_foreign_message_does_not_end_a_detect_stream(spark, tmp_path):
     stream = spark.readStream.schema("doc_id bigint, lang string, text string").parquet(source)
     G.detect_stream(stream, ROWS, out, str(tmp_path / "c"), min_score=0.3).awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_addresses_of_any_script_go_whole(spark, docs):
+    source = docs("do józef.żak@example.pl, user@exämple.pl i a@b.c; x@y.żó.")
+    found = D.detect(source, C.detectors()).where("detector = 'email'").orderBy("start")
+    assert [r["value"] for r in found.collect()] == ["józef.żak@example.pl", "user@exämple.pl", "x@y.żó"]
+
+
+def test_rows_without_typed_cells_or_names_are_not_shuffled(spark):
+    rows = [(i, "pl", f"nic {i}", "Ewa" if i % 10 == 0 else None) for i in range(40)]
+    people = spark.createDataFrame(rows, "id int, lang string, notes string, name string")
+    done = tokenize(people, ROWS, key=["id"], free_text=["notes"], typed={"name": "PERSON"})
+    plan = done.table._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
+    got = {r["id"]: (r["notes"], r["name"]) for r in done.table.collect()}
+    assert got == {i: (n, "[PERSON_001]" if name else None) for i, _, n, name in rows}
+    known = spark.createDataFrame([("nic 7", "PERSON", 1)], "value string, pii_type string, seq int")
+    listed = K.attach_known(people, known, [], spread=["id"], texts=["notes"])
+    texts = {r["id"]: r["notes"] for r in tokenize(listed, ROWS, key=["id"], free_text=["notes"], known=K.KNOWN).table.collect()}
+    assert texts[7] == "[PERSON_001]" and texts[8] == "nic 8"
+
+
+def test_fate_of_other_entities(spark, docs):
+    source = docs("PESEL 44051401359, jan@example.pl, ewa@example.pl, ABC123456")
+    fates = {"EMAIL_ADDRESS": lambda v: F.concat(F.lit("~"), F.substring(v, 1, 1)), "PL_ID_CARD": "keep"}
+    done = tokenize(source, ROWS, entities=["PL_PESEL"], others=fates)
+    assert done.table.first()["text"] == "PESEL [PL_PESEL_001], ~j, ~e, ABC123456"
+    with pytest.raises(ValueError, match="EMAIL_ADDRESS"):
+        tokenize(source, ROWS, entities=["PL_PESEL"], others={"EMAIL_ADDRESS": "error"})
+    with pytest.raises(ValueError, match="NOBODY"):
+        tokenize(source, ROWS, entities=["PL_PESEL"], others={"NOBODY": "keep"})
+    with pytest.raises(ValueError, match="must be"):
+        tokenize(source, ROWS, entities=["PL_PESEL"], others={"EMAIL_ADDRESS": "burn"})
+
+
+def test_patterns_of_empty_texts_are_refused(spark):
+    with pytest.raises(ValueError, match="empty text"):
+        C.custom_detector("x", "a*", pii_type="X", score=0.5)

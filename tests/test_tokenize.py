@@ -72,7 +72,7 @@ def test_whitelist(docs):
     assert got("5260001246", "PL_KRS") == "<PL_NIP>" and got("5260001246", "PL_KRS", others="keep") == "[PL_KRS_001]"
     with pytest.raises(ValueError, match="EMAIL_ADDRESS"):
         got(text, "PL_PESEL", others="error")
-    with pytest.raises(ValueError, match="unsupported entity"):
+    with pytest.raises(ValueError, match="no detector finds"):
         tokenize(docs("x"), ROWS, entities=["US_SSN"])
 
 
