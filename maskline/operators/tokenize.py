@@ -423,11 +423,10 @@ def restore(
     found, n_tokens = stage(
         _with_row(df, key, cells, scope).select(*ROW, scope.alias("scope"), F.expr(f"inline(flatten({located}))")), "tokens"
     )
-    wanted, n_wanted = stage(found.select(*TOKEN_KEY).distinct(), "wanted")
     if isinstance(mapping, TokenStore):
-        held = mapping.for_tokens(wanted, n_wanted)
+        held = mapping.for_tokens(found, n_tokens)
     else:
-        held = likely(mapping.select("scope", "token", "value"), wanted, TOKEN_KEY, n_wanted)
+        held = likely(mapping.select("scope", "token", "value"), found, TOKEN_KEY, n_tokens)
     values = salted_join(
         found,
         held.select("scope", "token", "value"),
