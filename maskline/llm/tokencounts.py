@@ -5,12 +5,20 @@ and tokens below. An edit walks down to the leaf it touches, splits anew from tw
 characters before it (the pattern looks no farther ahead; special tokens widen that)
 until the new words meet an old word's beginning again, encodes only words of that
 stretch, and corrects the sums on the way up. Words before and after keep their counts.
+
+Trees are kept: `build` encodes texts once and gives a table of them, `edit` turns such a
+table and edits into the next one. A kept tree is its leaves, a length and a token count
+for each word; the sums above them are added up again when it is opened, which needs
+neither splitting nor encoding. Leaves are cut evenly then, so that many edits in one
+place do not leave a tree lopsided.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskline.llm.common import map_rows
@@ -36,20 +44,25 @@ class WordCounts(dict):
 
 
 class CountTree:
-    """Characters and tokens of a text, by runs of words."""
+    """Characters and tokens of a text, by runs of words. A leaf holds its piece of the text."""
 
-    def __init__(self, text: str, counts: WordCounts):
-        self.text, self.counts, self.encoded = text, counts, 0
-        words = counts.own.words(text)
-        lengths = list(map(len, words))
-        tokens = list(map(counts.__getitem__, words))
+    def __init__(self, text: str, counts: WordCounts, lengths: np.ndarray | None = None, tokens: np.ndarray | None = None):
+        """From a text alone, or from the leaves that `saved` gave for it."""
+        self.counts, self.encoded = counts, 0
+        if lengths is None or tokens is None:
+            words = counts.own.words(text)
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+            tokens = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
+        bounds = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+        n, own, ids = len(lengths), lengths.tolist(), tokens.tolist()
         self.leaves = [
-            (lengths[i : i + LEAF_WORDS], tokens[i : i + LEAF_WORDS]) for i in range(0, len(words), LEAF_WORDS)
-        ] or [([], [])]
+            (text[bounds[i] : bounds[min(i + LEAF_WORDS, n)]], own[i : i + LEAF_WORDS], ids[i : i + LEAF_WORDS])
+            for i in range(0, n, LEAF_WORDS)
+        ] or [("", [], [])]
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         self.sums = np.zeros((2, 2 * self.width), np.int64)
-        for i, leaf in enumerate(self.leaves):
-            self.sums[:, self.width + i] = sum(leaf[0]), sum(leaf[1])
+        for i, (piece, _, below) in enumerate(self.leaves):
+            self.sums[:, self.width + i] = len(piece), sum(below)
         level = self.width
         while level > 1:
             below = self.sums[:, level : 2 * level]
@@ -61,6 +74,20 @@ class CountTree:
     def n_tokens(self) -> int:
         return int(self.sums[1, 1])
 
+    @property
+    def n_chars(self) -> int:
+        return int(self.sums[0, 1])
+
+    @property
+    def text(self) -> str:
+        return "".join(piece for piece, _, _ in self.leaves)
+
+    def saved(self) -> tuple[bytes, bytes]:
+        """The words' lengths and token counts as little-endian 32-bit numbers."""
+        return tuple(
+            np.fromiter((x for leaf in self.leaves for x in leaf[part]), "<u4").tobytes() for part in (1, 2)
+        )
+
     def _leaf_at(self, offset: int) -> tuple[int, int]:
         """The leaf that holds a character, and where that leaf begins."""
         node, begin = 1, 0
@@ -71,103 +98,181 @@ class CountTree:
                 node += 1
         return node - self.width, begin
 
-    def _set(self, leaf: int, lengths: list[int], tokens: list[int]) -> None:
-        self.leaves[leaf] = (lengths, tokens)
+    def _set(self, leaf: int, piece: str, lengths: list[int], tokens: list[int]) -> None:
+        self.leaves[leaf] = (piece, lengths, tokens)
         node = self.width + leaf
-        change = np.array([sum(lengths), sum(tokens)]) - self.sums[:, node]
+        change = np.array([len(piece), sum(tokens)]) - self.sums[:, node]
         while node:
             self.sums[:, node] += change
             node //= 2
 
+    def _window(self, first: int, begin: int) -> Iterator[tuple[int, str, int]]:
+        """Longer and longer stretches of the text from a leaf on: leaves read, their text, where it ends."""
+        pieces, last, size = [], first, 1
+        while True:
+            pieces += [piece for piece, _, _ in self.leaves[last : last + size]]
+            last, size = min(last + size, len(self.leaves)), 2 * size
+            pieces = ["".join(pieces)]
+            yield last, pieces[0], begin + len(pieces[0])
+
     def replace(self, start: int, end: int, new: str) -> None:
-        """Put `new` in place of text[start:end]; offsets are those before this edit."""
-        if not 0 <= start <= end <= len(self.text):
+        """Put `new` in place of the characters from start to end, as they are before this edit."""
+        if not 0 <= start <= end <= self.n_chars:
             raise ValueError("the edit lies outside the text")
-        old, shift = self.text, len(new) - (end - start)
-        text = self.text = old[:start] + new + old[end:]
-        first, at = self._leaf_at(max(0, start - self.reach))
-        lengths, tokens = [], []
+        first, begin = self._leaf_at(max(0, start - self.reach))
+        at, stay = begin, 0
         # words that end early enough to be out of the edit's reach stay
-        for length, count in zip(*self.leaves[first]):
+        for length in self.leaves[first][1]:
             if at + length > start - self.reach:
                 break
-            at += length
-            lengths.append(length)
-            tokens.append(count)
-        last, begin = first, at - sum(lengths)
-        bounds: dict[int, tuple[int, int]] = {}  # an old word's beginning, as in the new text: its leaf and place
-        margin = 64
-        while True:
-            stop = min(len(text), end + shift + margin)
-            while last < len(self.leaves) and begin < stop - shift + 1:
-                x = begin
-                for place, length in enumerate(self.leaves[last][0]):
-                    if x >= end:
-                        bounds[x + shift] = (last, place)
-                    x += length
-                begin, last = x, last + 1
-            words, position, met = self.counts.own.words(text[at:stop]), at, None
-            safe = len(text) if stop == len(text) else stop - self.reach
-            taken = []
-            for word in words:
-                if position >= end + shift + self.reach and position in bounds and position <= safe:
-                    met = position
+            at, stay = at + length, stay + 1
+        for last, old, stop in self._window(first, begin):
+            whole = last == len(self.leaves)
+            if stop < end or (stop < end + 2 * self.reach and not whole):
+                continue
+            # the stretch from `at` on as it is to be; behind the edit, places are `gap` off
+            stretch = old[at - begin : start - begin] + new + old[end - begin :]
+            gap = len(new) - (end - start) - at
+            bounds, x = {}, begin  # an old word's beginning in the stretch: its leaf, word and place in the leaf
+            for leaf in range(first, last):
+                place = 0
+                for word, length in enumerate(self.leaves[leaf][1]):
+                    if x >= end + self.reach:
+                        bounds[x + gap] = (leaf, word, place)
+                    x, place = x + length, place + length
+            safe = len(stretch) if whole else len(stretch) - self.reach
+            position, taken, met = 0, [], None
+            for word in self.counts.own.words(stretch):
+                if position in bounds and position <= safe:
+                    met = bounds[position]
                     break
                 taken.append(word)
                 position += len(word)
-            if met is not None or stop == len(text):
+            if met is not None or whole:
                 break
-            margin *= 2
-        self.encoded += sum(map(len, taken))
-        lengths += map(len, taken)
-        tokens += map(self.counts.__getitem__, taken)
-        if met is None:
-            gone, rest = len(self.leaves), ([], [])
-        else:
-            gone, place = bounds[met]
-            rest = (self.leaves[gone][0][place:], self.leaves[gone][1][place:])
+        self.encoded += position
+        piece, lengths, tokens = self.leaves[first]
+        piece = piece[: at - begin] + "".join(taken)
+        lengths = lengths[:stay] + list(map(len, taken))
+        tokens = tokens[:stay] + list(map(self.counts.__getitem__, taken))
+        gone, rest = len(self.leaves), ("", [], [])
+        if met is not None:
+            gone, word, place = met
+            rest = (self.leaves[gone][0][place:], self.leaves[gone][1][word:], self.leaves[gone][2][word:])
         if gone == first:
-            self._set(first, lengths + rest[0], tokens + rest[1])
+            self._set(first, piece + rest[0], lengths + rest[1], tokens + rest[2])
             return
-        self._set(first, lengths, tokens)
-        for leaf in range(first + 1, min(gone, len(self.leaves))):
-            self._set(leaf, [], [])
+        self._set(first, piece, lengths, tokens)
+        for leaf in range(first + 1, gone):
+            self._set(leaf, "", [], [])
         if gone < len(self.leaves):
             self._set(gone, *rest)
 
 
+def _words(packed: bytes | None) -> np.ndarray:
+    return np.frombuffer(packed or b"", "<u4").astype(np.int64)
+
+
+def _apply(tree: CountTree, edits: list[dict] | None) -> int:
+    """Carry out a text's edits, the last first; their number."""
+    wanted = sorted(((e["start"], e["end"], e["new"] or "") for e in edits or []), key=lambda e: e[:2])
+    if any(a[1] > b[0] for a, b in zip(wanted, wanted[1:])):
+        raise ValueError("edits of a text overlap")
+    for start, end, new in reversed(wanted):
+        tree.replace(start, end, new)
+    return len(wanted)
+
+
+def _counter(spark: SparkSession, tokenizer: str) -> Callable[[], WordCounts]:
+    """The table of word counts of a Python worker."""
+    source = spark.sparkContext.broadcast(tokenizer_source(tokenizer))
+    codec(source.value)
+    held: list[WordCounts] = []
+
+    def counts() -> WordCounts:
+        if not held:
+            held.append(WordCounts(codec(source.value)))
+        return held[0]
+
+    return counts
+
+
+def build(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The trees of texts: key, text, lengths and tokens (of each word, packed), n_tokens.
+
+    Every text is encoded once and whole. Null texts are empty. Rows are kept one to one,
+    repeated and null keys too; other columns are not carried. The table is meant to be
+    written, and given to `edit` whenever its texts change.
+    """
+    counts = _counter(docs.sparkSession, tokenizer)
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    key_type = rows.schema["key"].dataType.simpleString()
+
+    def run(keys, texts):
+        saved, n = [], []
+        for t in texts:
+            tree = CountTree(t, counts())
+            saved.append(tree.saved())
+            n.append(tree.n_tokens)
+        return keys, texts, *zip(*saved), n
+
+    schema = f"key {key_type}, text string, lengths binary, tokens binary, n_tokens bigint"
+    return map_rows(rows, run, schema).withColumnRenamed("key", key)
+
+
+def edit(trees: DataFrame, tokenizer: str, *, key: str = "doc_id", edits: str = "edits") -> DataFrame:
+    """The trees after their edits, with n_tokens_before, n_edits and n_encoded (code points encoded again).
+
+    `trees` is a table of `build` or of this function with a column of edits beside: an
+    array of (start, end, new), code points of the text as it is kept, end exclusive.
+    Edits must not overlap (ValueError); edits at the same place apply in their order.
+    Null edits are none, a null `new` deletes. Only words near an edit are split and
+    encoded; trees without edits are not opened. Rows are kept one to one, repeated and
+    null keys too; other columns are not carried.
+    """
+    counts = _counter(trees.sparkSession, tokenizer)
+    kept = trees.select(F.col(key).alias("key"), "text", "lengths", "tokens", "n_tokens", F.col(edits).alias("edits"))
+    key_type = kept.schema["key"].dataType.simpleString()
+
+    def run(keys, texts, lengths, tokens, before, changes):
+        out = []
+        for t, own, ids, n, wanted in zip(texts, lengths, tokens, before, changes):
+            if not wanted:
+                out.append((t, own, ids, n, 0, 0))
+                continue
+            tree = CountTree(t, counts(), _words(own), _words(ids))
+            done = _apply(tree, wanted)
+            out.append((tree.text, *tree.saved(), tree.n_tokens, done, tree.encoded))
+        texts, lengths, tokens, after, n_edits, encoded = zip(*out)
+        return keys, texts, lengths, tokens, before, after, n_edits, encoded
+
+    schema = (
+        f"key {key_type}, text string, lengths binary, tokens binary, "
+        "n_tokens_before bigint, n_tokens bigint, n_edits bigint, n_encoded bigint"
+    )
+    return map_rows(kept, run, schema).withColumnRenamed("key", key)
+
+
 def count_edited(
     docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", edits: str = "edits"
 ) -> DataFrame:
-    """Token counts of texts before and after their edits.
-
-    `edits` is an array of (start, end, new): code points of the text as it is given, end
-    exclusive. Edits must not overlap (ValueError); edits at the same place apply in
-    their order. Columns: key, n_tokens_before, n_tokens, n_edits (long), n_encoded (code
-    points that were encoded again). Null texts are empty, null edits are none, a null
-    `new` deletes. Rows are kept one to one, repeated and null keys too; other columns
-    are not carried.
+    """Token counts of texts before and after their edits, without keeping the trees.
+
+    Texts are as in `build`, edits as in `edit`. Columns: key, n_tokens_before, n_tokens,
+    n_edits (long), n_encoded (code points that were encoded again). Rows are kept one to
+    one, repeated and null keys too; other columns are not carried.
     """
-    source = docs.sparkSession.sparkContext.broadcast(tokenizer_source(tokenizer))
-    codec(source.value)
+    counts = _counter(docs.sparkSession, tokenizer)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(edits).alias("edits"))
     key_type = rows.schema["key"].dataType.simpleString()
-    held: dict[str, WordCounts] = {}
 
     def run(keys, texts, changes):
-        if not held:
-            held["counts"] = WordCounts(codec(source.value))
         before, after, n_edits, encoded = [], [], [], []
         for t, wanted in zip(texts, changes):
-            tree = CountTree(t or "", held["counts"])
+            tree = CountTree(t or "", counts())
             before.append(tree.n_tokens)
-            wanted = sorted(((e["start"], e["end"], e["new"] or "") for e in wanted or []), key=lambda e: e[:2])
-            if any(a[1] > b[0] for a, b in zip(wanted, wanted[1:])):
-                raise ValueError("edits of a text overlap")
-            for start, end, new in reversed(wanted):
-                tree.replace(start, end, new)
+            n_edits.append(_apply(tree, wanted))
             after.append(tree.n_tokens)
-            n_edits.append(len(wanted))
             encoded.append(tree.encoded)
         return keys, before, after, n_edits, encoded
 

@@ -13,6 +13,7 @@ from maskline.llm import (
     decontaminate,
     extract,
     language,
+    queries,
     secrets,
     superminhash,
     tokencounts,
@@ -364,6 +365,44 @@ def test_edited_counts(spark, library):
     assert found == [(0, n[1], 1), (1, 0, 0), (1, n[0], 1)]
 
 
+def test_kept_trees(spark, library, tmp_path):
+    """Three rounds of edits on written trees: counts of full encoding, texts of plain slicing, little encoded."""
+    r = np.random.default_rng(8)
+    texts = {i: " ".join(r.choice(["mail", "don't", "12", "é,", "\n\n", "<|endoftext|>"], n)) for i, n in enumerate((0, 1, 70, 900, 9_000))}
+    texts |= {5: None, 6: "x" * 30_000}
+    rows = [*texts.items(), (3, texts[3]), (None, "no key")]
+    docs = spark.createDataFrame([(*x, "clash") for x in rows], "doc_id bigint, text string, tokens string")
+    path = str(tmp_path / "trees")
+    tokencounts.build(docs, byte_bpe()).write.parquet(f"{path}0")
+    now = {k: t or "" for k, t in rows}
+    for turn in range(3):
+        changes, whole = {}, dict(now)
+        for k, t in now.items():
+            if k in (1, None):
+                continue
+            places = sorted(r.integers(0, len(t) + 1, 6).tolist())
+            changes[k] = [(a, min(b, a + 9), str(r.choice(["", "new word", " ", "'s", None]) or "")) for a, b in zip(places[::2], places[1::2])]
+            for a, b, new in reversed(changes[k]):
+                whole[k] = whole[k][:a] + new + whole[k][b:]
+        wanted = spark.createDataFrame(list(changes.items()), "doc_id bigint, edits array<struct<start:int,end:int,new:string>>")
+        trees = spark.read.parquet(f"{path}{turn}").join(wanted, "doc_id", "left")
+        tokencounts.edit(trees, byte_bpe()).write.parquet(f"{path}{turn + 1}")
+        found = spark.read.parquet(f"{path}{turn + 1}").collect()
+        assert len(found) == len(rows)
+        for x in found:
+            k = x["doc_id"]
+            assert x["text"] == whole[k] and x["n_tokens"] == len(library.encode(whole[k], add_special_tokens=False).ids)
+            assert x["n_tokens_before"] == len(library.encode(now[k], add_special_tokens=False).ids)
+            assert x["n_edits"] == len(changes.get(k, ())) and (x["n_edits"] or x["n_encoded"] == 0)
+            assert k not in (3, 4) or x["n_encoded"] < 400
+        now = whole
+    bad = spark.read.parquet(f"{path}0").withColumn("edits", F.expr("array(named_struct('start', 0, 'end', 10000000, 'new', ''))"))
+    with pytest.raises(Exception, match="outside the text"):
+        tokencounts.edit(bad, byte_bpe()).count()
+    empty = tokencounts.build(docs.limit(0), byte_bpe())
+    assert tokencounts.edit(queries.redactions(empty, "lengths", "tokens", "n_tokens"), byte_bpe()).count() == 0
+
+
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body class="nav-open"><header>H</header>
 <nav><a>menu</a></nav><div class="ad top">buy</div><article><h1>One &amp; two</h1><p>First <b>bold</b>ly  set<br>line
 <p>Second<!-- c --> &eacute;<div class="comments"><p>reader says</p></div><form>f</form><aside>s</aside></article>
