@@ -6,11 +6,8 @@ import os
 import re
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from maskline.llm import (
     bpe,
@@ -27,7 +24,7 @@ from maskline.llm import (
     urlfilter,
     vptree,
 )
-from maskline.llm.common import rows_of, ship, staged
+from maskline.llm.common import map_rows, staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,29 +107,26 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 REDACTED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|[0-9]{6,}")
 
 
-def redactions(docs: DataFrame, *carried: str) -> DataFrame:
-    """doc_id, text, the columns carried, and the edits that take addresses and long numbers out."""
-    ship(docs.sparkSession)
-    docs = docs.select("doc_id", "text", *carried)
-    added = StructType.fromDDL("edits array<struct<start: int, end: int, new: string>>")
-    schema, kind = StructType(docs.schema.fields + added.fields), to_arrow_schema(added).field("edits").type
+def redacted(text: str) -> list[tuple[int, int, str]]:
+    """The edits that take addresses and long numbers out of a text."""
+    return [(*m.span(), "[REDACTED]") for m in REDACTED.finditer(text)]
 
-    def find(batches):
-        for batch in batches:
-            edits = []
-            for (texts,) in rows_of([pa.RecordBatch.from_arrays([batch.column(1)], names=["text"])]):
-                for t in texts:
-                    spans = (m.span() for m in REDACTED.finditer(t or ""))
-                    edits.append([{"start": a, "end": b, "new": "[REDACTED]"} for a, b in spans])
-            yield batch.append_column("edits", pa.array(edits, kind))
 
-    return docs.mapInArrow(find, schema)
+def redactions(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the edits of `redacted`, as a column."""
+
+    def find(keys, texts):
+        return keys, texts, [[{"start": a, "end": b, "new": new} for a, b, new in redacted(t or "")] for t in texts]
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, text string, edits array<struct<start: int, end: int, new: string>>"
+    return map_rows(docs.select("doc_id", "text"), find, schema)
 
 
 def op8_tokencounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trees of all texts are built and written; then e-mail addresses and long digit runs are edited out of them."""
     trees = staged(tokencounts.build(table(spark, sf_dir, "documents"), byte_bpe()), "trees")
-    edited = tokencounts.edit(redactions(trees, "lengths", "tokens", "n_tokens"), byte_bpe())
+    edited = tokencounts.edit(trees, byte_bpe(), edits=redacted)
     return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded")
 
 

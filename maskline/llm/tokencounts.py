@@ -15,6 +15,7 @@ place do not leave a tree lopsided.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from maskline.llm.pretokens import Codec, codec, tokenizer_source
 
 LEAF_WORDS = 64
 
+Edit = tuple[int, int, str]  # start, end, what comes in place
+
 
 class WordCounts(dict):
     """Tokens of a word, encoded once while it stays in the table."""
@@ -83,10 +86,8 @@ class CountTree:
         return "".join(piece for piece, _, _ in self.leaves)
 
     def saved(self) -> tuple[bytes, bytes]:
-        """The words' lengths and token counts as little-endian 32-bit numbers."""
-        return tuple(
-            np.fromiter((x for leaf in self.leaves for x in leaf[part]), "<u4").tobytes() for part in (1, 2)
-        )
+        """The words' lengths and token counts, packed."""
+        return tuple(_pack(np.fromiter((x for leaf in self.leaves for x in leaf[part]), np.int64)) for part in (1, 2))
 
     def _leaf_at(self, offset: int) -> tuple[int, int]:
         """The leaf that holds a character, and where that leaf begins."""
@@ -169,13 +170,28 @@ class CountTree:
             self._set(gone, *rest)
 
 
-def _words(packed: bytes | None) -> np.ndarray:
-    return np.frombuffer(packed or b"", "<u4").astype(np.int64)
+def _pack(numbers: np.ndarray) -> bytes:
+    """How many, each in a byte (255: listed behind, in 32 bits), compressed."""
+    large = numbers[numbers >= 255].astype("<u4")
+    flat = np.minimum(numbers, 255).astype(np.uint8)
+    return zlib.compress(len(numbers).to_bytes(4, "little") + flat.tobytes() + large.tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    end = 4 + int.from_bytes(raw[:4], "little")
+    numbers = np.frombuffer(raw[4:end], np.uint8).astype(np.int64)
+    numbers[numbers == 255] = np.frombuffer(raw[end:], "<u4")
+    return numbers
 
 
-def _apply(tree: CountTree, edits: list[dict] | None) -> int:
+def _listed(edits: list[dict] | None) -> list[Edit]:
+    return [(e["start"], e["end"], e["new"] or "") for e in edits or []]
+
+
+def _apply(tree: CountTree, edits: list[Edit]) -> int:
     """Carry out a text's edits, the last first; their number."""
-    wanted = sorted(((e["start"], e["end"], e["new"] or "") for e in edits or []), key=lambda e: e[:2])
+    wanted = sorted(edits, key=lambda e: e[:2])
     if any(a[1] > b[0] for a, b in zip(wanted, wanted[1:])):
         raise ValueError("edits of a text overlap")
     for start, end, new in reversed(wanted):
@@ -220,27 +236,33 @@ def build(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "
     return map_rows(rows, run, schema).withColumnRenamed("key", key)
 
 
-def edit(trees: DataFrame, tokenizer: str, *, key: str = "doc_id", edits: str = "edits") -> DataFrame:
+def edit(
+    trees: DataFrame, tokenizer: str, *, key: str = "doc_id", edits: str | Callable[[str], list[Edit]] = "edits"
+) -> DataFrame:
     """The trees after their edits, with n_tokens_before, n_edits and n_encoded (code points encoded again).
 
     `trees` is a table of `build` or of this function with a column of edits beside: an
-    array of (start, end, new), code points of the text as it is kept, end exclusive.
+    array of (start, end, new), code points of the text as it is kept, end exclusive. Instead
+    of the column's name, `edits` may be a function that lists the edits of a text.
     Edits must not overlap (ValueError); edits at the same place apply in their order.
     Null edits are none, a null `new` deletes. Only words near an edit are split and
     encoded; trees without edits are not opened. Rows are kept one to one, repeated and
     null keys too; other columns are not carried.
     """
     counts = _counter(trees.sparkSession, tokenizer)
-    kept = trees.select(F.col(key).alias("key"), "text", "lengths", "tokens", "n_tokens", F.col(edits).alias("edits"))
+    find = edits if callable(edits) else None
+    listed = F.lit(None) if find else F.col(edits)
+    kept = trees.select(F.col(key).alias("key"), "text", "lengths", "tokens", "n_tokens", listed.alias("edits"))
     key_type = kept.schema["key"].dataType.simpleString()
 
     def run(keys, texts, lengths, tokens, before, changes):
         out = []
         for t, own, ids, n, wanted in zip(texts, lengths, tokens, before, changes):
+            wanted = find(t) if find else _listed(wanted)
             if not wanted:
                 out.append((t, own, ids, n, 0, 0))
                 continue
-            tree = CountTree(t, counts(), _words(own), _words(ids))
+            tree = CountTree(t, counts(), _unpack(own), _unpack(ids))
             done = _apply(tree, wanted)
             out.append((tree.text, *tree.saved(), tree.n_tokens, done, tree.encoded))
         texts, lengths, tokens, after, n_edits, encoded = zip(*out)
@@ -271,7 +293,7 @@ def count_edited(
         for t, wanted in zip(texts, changes):
             tree = CountTree(t or "", counts())
             before.append(tree.n_tokens)
-            n_edits.append(_apply(tree, wanted))
+            n_edits.append(_apply(tree, _listed(wanted)))
             after.append(tree.n_tokens)
             encoded.append(tree.encoded)
         return keys, before, after, n_edits, encoded

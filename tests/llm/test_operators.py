@@ -396,11 +396,17 @@ def test_kept_trees(spark, library, tmp_path):
             assert x["n_edits"] == len(changes.get(k, ())) and (x["n_edits"] or x["n_encoded"] == 0)
             assert k not in (3, 4) or x["n_encoded"] < 400
         now = whole
-    bad = spark.read.parquet(f"{path}0").withColumn("edits", F.expr("array(named_struct('start', 0, 'end', 10000000, 'new', ''))"))
+    first = spark.read.parquet(f"{path}0")
+    by_rule = tokencounts.edit(first, byte_bpe(), edits=lambda t: [(0, 2, "")] if len(t) > 1 else [])
+    cut = {k: (t or "")[2:] if len(t or "") > 1 else t or "" for k, t in rows}
+    for x in by_rule.collect():
+        t = cut[x["doc_id"]]
+        assert x["text"] == t and x["n_tokens"] == len(library.encode(t, add_special_tokens=False).ids)
+    bad = first.withColumn("edits", F.expr("array(named_struct('start', 0, 'end', 10000000, 'new', ''))"))
     with pytest.raises(Exception, match="outside the text"):
         tokencounts.edit(bad, byte_bpe()).count()
     empty = tokencounts.build(docs.limit(0), byte_bpe())
-    assert tokencounts.edit(queries.redactions(empty, "lengths", "tokens", "n_tokens"), byte_bpe()).count() == 0
+    assert tokencounts.edit(empty, byte_bpe(), edits=queries.redacted).count() == 0
 
 
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body class="nav-open"><header>H</header>
