@@ -319,19 +319,52 @@ def untangle(spans: str) -> str:
         return f"{a}.start < {b}.end and {b}.start < {a}.end"
 
     def greedy(group: str) -> str:
-        by_rank = Q.transform(
-            group,
-            lambda s: Q.struct(
-                a=f"-{s}.score", b=f"{s}.start - {s}.end", c=f"{s}.start", d=f"{s}.rank", span=s
-            ),
-        )
-        kept = Q.aggregate(
-            f"array_sort({by_rank})",
-            Q.keep(group, lambda _: "false"),
-            lambda acc, x: f"if({Q.exists(acc, lambda k: overlap(k, f'{x}.span'))}, {acc}, "
-            f"array_append({acc}, {x}.span))",
-        )
-        return f"array_sort({kept})"
+        # Survivors are filed by their place in text order, in about root(n) shelves of root(n)
+        # places (a small group has one shelf). They do not overlap, so shelves follow one another, and a span meets no
+        # survivor of a shelf that ends before it or begins behind it.
+        def by_rank(width: str) -> str:
+            return "array_sort(" + Q.transform_indexed(
+                group,
+                lambda s, i: Q.struct(
+                    a=f"-{s}.score",
+                    b=f"{s}.start - {s}.end",
+                    c=f"{s}.start",
+                    d=f"{s}.rank",
+                    shelf=f"cast({i} div {width} as int)",
+                    span=s,
+                ),
+            ) + ")"
+
+        def taken(shelves: str, x: str) -> str:
+            return Q.exists(
+                shelves,
+                lambda h: f"{h}.start < {x}.span.end and {x}.span.start < {h}.end and "
+                + Q.exists(f"{h}.kept", lambda k: overlap(k, f"{x}.span")),
+            )
+
+        def filed(shelves: str, x: str) -> str:
+            return Q.transform_indexed(
+                shelves,
+                lambda h, i: f"if({i} = {x}.shelf, "
+                + Q.struct(
+                    start=f"least({h}.start, {x}.span.start)",
+                    end=f"greatest({h}.end, {x}.span.end)",
+                    kept=f"array_append({h}.kept, {x}.span)",
+                )
+                + f", {h})",
+            )
+
+        def settled(width: str) -> str:
+            bare = Q.struct(start="2147483647", end="-1", kept=Q.keep(group, lambda _: "false"))
+            shelves = Q.aggregate(
+                by_rank(width),
+                f"array_repeat({bare}, cast((size({group}) - 1) div {width} as int) + 1)",
+                lambda acc, x: f"if({taken(acc, x)}, {acc}, {filed(acc, x)})",
+            )
+            return "flatten(" + Q.transform(shelves, lambda h: f"array_sort({h}.kept)") + ")"
+
+        small = f"size({group}) <= {Q.BLOCK}"
+        return Q.let(f"if({small}, size({group}), cast(ceil(sqrt(size({group}))) as int))", settled)
 
     def by_group(a: str) -> str:
         heads = Q.let(

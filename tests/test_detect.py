@@ -147,6 +147,27 @@ def test_overlaps_match_brute_force(spark):
         assert [tuple(k) for k in row["kept"]] == brute_force(cases[row["id"]][1])
 
 
+def test_overlaps_of_one_long_group(spark):
+    """5,000 spans that hang together: one weak span over all, and a ladder of neighbours that meet."""
+    rng = random.Random(11)
+    over = [(0, 100_000, 0, 0.1)]
+    apart = over + [(20 * i, 20 * i + 9, 1, 0.5) for i in range(5_000)]
+    ladder = over + [(5 * i, 5 * i + rng.randint(4, 12), 1, rng.choice([0.4, 0.75, 0.85])) for i in range(5_000)]
+    nested = [(i, 10_001 - i, 1, 0.5) for i in range(5_000)]
+    kept_of_ladder, taken = [], bytearray(100_000)  # the rule again, with a mark per character
+    for s in sorted(ladder, key=lambda s: (-s[3], s[0] - s[1], s[0], s[2])):
+        if not any(taken[s[0] : s[1]]):
+            taken[s[0] : s[1]] = b"x" * (s[1] - s[0])
+            kept_of_ladder.append(s)
+    cases = [(0, apart, apart[1:]), (1, ladder, sorted(kept_of_ladder)), (2, nested, nested[:1])]
+    for number, spans, expected in cases:
+        rng.shuffle(spans)
+        df = spark.createDataFrame(
+            [(number, spans)], "id int, spans array<struct<start:int,end:int,rank:int,score:double>>"
+        ).select(F.expr(S.untangle("spans")).alias("kept"))
+        assert [tuple(k) for k in df.first()["kept"]] == expected
+
+
 def test_krs_loses_to_nip(docs):
     kept = D.detect(docs("numer 5260001246"), ROWS, resolve=True).collect()
     assert [r["detector"] for r in kept] == ["pl_nip"]
