@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +16,22 @@ from maskline.functions.leaves import is_json
 def read_folder(spark: SparkSession, path: str, lang: str | None = None) -> DataFrame:
     """One row per file below `path`: doc_id (path inside the folder), text, and lang if given."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    name = F.regexp_replace(F.col("_metadata.file_path"), "^.*?" + _inside(path), "")
-    docs = files.select(F.url_decode(name).alias("doc_id"), F.col("value").alias("text"))
+    # File paths come as URIs, in which a plus is a plus.
+    place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    place = F.regexp_replace(place, r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    folder = _folder(spark, path)
+    # Where a file system reports files under another root, the folder's own name is looked for.
+    inside = F.regexp_replace(place, rf"\A.*?/\Q{folder.rsplit('/', 1)[-1]}\E/", "")
+    name = F.when(place.startswith(f"{folder}/"), F.substr(place, F.lit(len(folder) + 2))).otherwise(inside)
+    docs = files.select(name.alias("doc_id"), F.col("value").alias("text"))
     return docs if lang is None else docs.withColumn("lang", F.lit(lang))
 
 
-def _inside(path: str) -> str:
-    folder = path.split(":", 1)[-1].rstrip("/").rsplit("/", 1)[-1]
-    return rf"/\Q{folder}\E/"
+def _folder(spark: SparkSession, path: str) -> str:
+    """The path without scheme, host and last slash, from the root."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(place).toUri().getPath().rstrip("/")
 
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet", schema=None, **options) -> DataFrame:
@@ -43,3 +56,65 @@ def read_payloads(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def write_documents(docs: DataFrame, path: str, format: str = "parquet") -> None:
     """Rewritten documents with their names as a column, not one file each."""
     docs.write.mode("errorifexists").format(format).save(path)
+
+
+def write_folder(docs: DataFrame, path: str, *, name: str = "doc_id", text: str = "text") -> None:
+    """One file per document, named as `read_folder` names them, in a folder that does not exist yet.
+
+    Tasks write into a hidden folder beside `path`, each file whole or not at all, so a task
+    may run again; the folder gets its name in one step when all files are there. `path` may
+    lie where both Spark and `pyarrow.fs` can write (file, hdfs, s3, gs). Null texts become
+    empty files. Names that are null, occur twice, lead out of the folder, or that Spark
+    would not read back (a part beginning with `_` or `.`) are errors; only names are
+    shuffled to find that out.
+    """
+    spark = docs.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(conf)
+    target = files.makeQualified(target)
+    if files.exists(target):
+        raise FileExistsError(f"{path} exists")
+    rows = docs.select(F.col(name).cast("string").alias("name"), F.coalesce(text, F.lit("")).alias("text"))
+    readable = F.coalesce(F.col("name").rlike(_READABLE), F.lit(False))
+    wrong = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(~readable | (F.col("n") > 1)).first()
+    if wrong is not None:
+        raise ValueError(f"{wrong['n']} documents named {wrong['name']!r}: not names of single files in a folder")
+    hidden = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex}")
+    files.mkdirs(hidden)
+    try:
+        rows.mapInArrow(partial(_write_files, _uri(hidden.toUri().toASCIIString())), "files bigint").agg(F.sum("files")).collect()
+        if not files.rename(hidden, target):
+            raise OSError(f"{path} could not be created")
+    finally:
+        files.delete(hidden, True)
+
+
+# Path parts parted by single slashes; none begins with a dot, an underscore, or is empty.
+_READABLE = r"\A[^/._\x00][^/\x00]*+(/[^/._\x00][^/\x00]*+)*+\z"
+
+
+def _uri(path: str) -> str:
+    scheme, _, rest = path.partition(":")
+    rest = rest if rest.startswith("//") else "//" + rest
+    return f"{'s3' if scheme == 's3a' else scheme}:{rest}"
+
+
+def _write_files(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow.fs import FileSystem
+
+    files, base = FileSystem.from_uri(folder)
+    made: set[str] = set()
+    for batch in batches:
+        for name, text in zip(batch.column("name"), batch.column("text")):
+            place = f"{base}/{name.as_py()}"
+            parent = place.rpartition("/")[0]
+            if parent not in made:
+                files.create_dir(parent, recursive=True)
+                made = made if len(made) < 10_000 else set()
+                made.add(parent)
+            begun = f"{parent}/.{uuid.uuid4().hex}"
+            with files.open_output_stream(begun) as out:
+                out.write(text.as_buffer())
+            files.move(begun, place)
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])

@@ -75,12 +75,10 @@ def entries(mapping: DataFrame) -> DataFrame:
 
 def read_documents(spark, sf):
     folder = new_path(spark, "folder")
-    I.documents(spark, sf).select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    named = I.documents(spark, sf).select(F.concat("doc_id", F.lit(".txt")).alias("doc_id"), "text")
+    IO.write_folder(named, folder)
     files = IO.read_folder(spark, folder)
-    return files.select(
-        F.regexp_extract("doc_id", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"),
-        F.regexp_replace("text", r"\n\z", "").alias("text"),
-    )
+    return files.select(F.regexp_extract("doc_id", r"\A(\d+)\.txt\z", 1).cast("bigint").alias("doc_id"), "text")
 
 
 def read_table(spark, sf):
