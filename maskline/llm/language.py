@@ -4,7 +4,8 @@ N-grams of one to four characters of the lower-cased text, with every run of
 non-letters as one space, are hashed into BUCKETS. Counts cover all training texts;
 what reaches the driver and is broadcast is one log-probability per language and
 bucket. Languages beyond MAX_LANGUAGES are an error, so the table has a bound.
-A batch is scored from its sparse counts, one gather and sum per text.
+The n-grams of a batch of texts lie in one array, so a batch is scored by one gather for
+each language and sums over the texts' stretches.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ NO_LANGUAGE = "und"
 PIECE = 100_000
 # From so many n-grams on, a text's counts are multiplied instead of gathered one by one.
 DENSE = 2 * BUCKETS
+# So many n-grams are scored at a time.
+BATCH = 1 << 18
 
 _SPACE = 32
 _SALTS = {n: np.uint64(0x9E3779B97F4A7C15 * n & 0xFFFFFFFFFFFFFFFF) for n in range(1, 9)}
@@ -113,6 +116,40 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
     return Model(languages, table.astype(np.float32), np.log(prior / prior.sum()) if languages else prior)
 
 
+def log_posteriors(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """One row of log prior + log likelihood per text, and whether the text has a letter."""
+    like = np.repeat(model.prior[None, :], len(texts), axis=0)
+    some = np.zeros(len(texts), bool)
+    waiting: list[np.ndarray] = []
+    rows: list[int] = []
+
+    def settle():
+        if waiting:
+            grams = np.concatenate(waiting)
+            starts = np.cumsum([0] + [len(w) for w in waiting[:-1]])
+            for j in range(len(model.languages)):
+                sums = np.add.reduceat(model.table[:, j][grams], starts, dtype=np.float64)
+                np.add.at(like[:, j], rows, sums)
+            waiting.clear()
+            rows.clear()
+
+    size = 0
+    for i, t in enumerate(texts):
+        for found in _pieces(t) if t else ():
+            some[i] = True
+            if len(found) >= DENSE:
+                like[i] += np.bincount(found, minlength=BUCKETS) @ model.table.astype(np.float64)
+                continue
+            waiting.append(found)
+            rows.append(i)
+            size += len(found)
+            if size >= BATCH:
+                settle()
+                size = 0
+    settle()
+    return like, some
+
+
 def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, lang_pred and score of every row.
 
@@ -126,22 +163,14 @@ def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "
     key_type = rows.schema["key"].dataType.simpleString()
 
     def run(keys, texts):
-        m, names, scores = shared.value, [], []
-        for t in texts:
-            like, some = m.prior, False
-            for found in _pieces(t) if t and m.languages else ():
-                some = True
-                if len(found) < DENSE:
-                    like = like + m.table[found].sum(axis=0, dtype=np.float64)
-                else:
-                    like = like + np.bincount(found, minlength=BUCKETS) @ m.table.astype(np.float64)
-            if not some:
-                names.append(NO_LANGUAGE)
-                scores.append(0.0)
-                continue
-            best = int(np.argmax(like))
-            names.append(m.languages[best])
-            scores.append(float(1 / np.exp(like - like[best]).sum()))
-        return keys, names, scores
+        m = shared.value
+        if not m.languages:
+            return keys, [NO_LANGUAGE] * len(texts), [0.0] * len(texts)
+        like, some = log_posteriors(texts, m)
+        best = like.argmax(axis=1)
+        top = like[np.arange(len(texts)), best]
+        scores = np.where(some, 1 / np.exp(like - top[:, None]).sum(axis=1), 0.0)
+        names = [m.languages[b] if s else NO_LANGUAGE for b, s in zip(best, some)]
+        return keys, names, scores.tolist()
 
     return map_rows(rows, run, f"key {key_type}, lang_pred string, score double").withColumnRenamed("key", key)
