@@ -3,9 +3,12 @@
 Base patterns find assigned, access-key and long hexadecimal secrets. The method adds
 what no pattern names: a string near a word such as "auth" or "credential" is held
 against a raw-content dictionary made of common code identifiers and the text around
-it. Its marginal cost is what its own bytes add to the compressed frame. A string that
-costs nearly as much as its length is new: no identifier, no word said nearby, no
-repetition. Such strings, with mixed kinds of characters, are reported as `novel`.
+it. Its marginal cost is what its own bytes add to a compressed frame that already holds
+some identifiers: the frame's tables and headers are paid for by those, so a short string
+made of known words costs little. Letters are compared in lower case, so that
+`SessionHandler` is known where `session` and `handler` are. A string that costs nearly
+as much as its length is new: no identifier, no word said nearby, no repetition. Such
+strings, with mixed kinds of characters, are reported as `novel`.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from maskline.llm.common import map_rows
 KINDS = ("assign", "access", "hex", "novel")
 NEAR = 64  # code points before a candidate in which the sensitive word must end
 AROUND = 512  # code points of surrounding text on either side in the dictionary
-NOVELTY = 0.85  # least marginal bytes per byte
+NOVELTY = 0.7  # least marginal bytes per byte
+LEVEL = 12  # of compression; searches the dictionary for more than the last match
 
 # The base patterns, and the words that make a place sensitive.
 ASSIGN = re.compile(
@@ -57,6 +61,9 @@ IDENTIFIERS = (
     "0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ com org net example"
 ).encode()
 
+# Words of the dictionary that a frame begins with, in another order.
+OPENING = b" ".join(IDENTIFIERS.split()[3:103:9][::-1]) + b" "
+
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base kinds by start, then kind in the order of KINDS."""
@@ -74,13 +81,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def novelty(candidate: str, around: str) -> float:
     """Marginal compressed bytes per byte of a string, given the text around it and code identifiers."""
     dictionary = zstandard.ZstdCompressionDict(
-        IDENTIFIERS + b" " + around.encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        IDENTIFIERS.lower() + b" " + around.lower().encode("utf-8", "surrogatepass"),
+        dict_type=zstandard.DICT_TYPE_RAWCONTENT,
     )
     press = zstandard.ZstdCompressor(
-        level=3, dict_data=dictionary, write_checksum=False, write_content_size=False, write_dict_id=False
+        level=LEVEL, dict_data=dictionary, write_checksum=False, write_content_size=False, write_dict_id=False
     )
-    data = candidate.encode("utf-8", "surrogatepass")
-    return (len(press.compress(data)) - len(press.compress(b""))) / len(data)
+    data = candidate.lower().encode("utf-8", "surrogatepass")
+    return (len(press.compress(OPENING + data)) - len(press.compress(OPENING))) / len(data)
 
 
 def _mixed(text: str) -> bool:
@@ -106,7 +114,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int,
             start = checked = m.end()
             if any(a < m.end() and m.start() < b for a, b, _ in taken) or not _mixed(m[0]):
                 continue
-            around = text[max(0, m.start() - AROUND) : m.start()] + text[m.end() : m.end() + AROUND]
+            around = text[max(0, m.start() - AROUND) : m.start()] + " " + text[m.end() : m.end() + AROUND]
             if novelty(m[0], around) >= NOVELTY:
                 out.append((m.start(), m.end(), "novel"))
     return out

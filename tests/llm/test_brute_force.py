@@ -154,12 +154,12 @@ def novel(text, taken):
             continue
         if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s) or len(set(s)) < 8:
             continue
-        around = text[max(0, a - secrets.AROUND) : a] + text[b : b + secrets.AROUND]
-        primer = zstandard.ZstdCompressionDict(secrets.IDENTIFIERS + b" " + around.encode(), dict_type=1)
+        around = text[max(0, a - secrets.AROUND) : a] + " " + text[b : b + secrets.AROUND]
+        primer = zstandard.ZstdCompressionDict((secrets.IDENTIFIERS.decode() + " " + around).lower().encode(), dict_type=1)
         size = lambda data: len(
-            zstandard.ZstdCompressor(level=3, dict_data=primer, write_content_size=False, write_dict_id=False).compress(data)
+            zstandard.ZstdCompressor(level=12, dict_data=primer, write_content_size=False, write_dict_id=False).compress(data)
         )
-        if size(s.encode()) - size(b"") >= secrets.NOVELTY * len(s.encode()):
+        if size(secrets.OPENING + s.lower().encode()) - size(secrets.OPENING) >= secrets.NOVELTY * len(s):
             out.append((a, "novel", b))
     return out
 
@@ -180,11 +180,12 @@ def test_secrets_query(spark, documents):
         assert found[key].spans == joined(every)
 
 
-def planted(documents, seed=5):
-    """Texts with a string near a sensitive word: (kind, text, string); half of the kinds are secrets."""
+def planted(documents, seed):
+    """Texts with a string near a sensitive word: (kind, text, string); three of the kinds are secrets."""
     r = random.Random(seed)
     texts = [t for _, t, _ in documents if t and len(t) > 300]
     draw = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    unknown = [w for t in texts for w in t.split()[:40] if w.isascii() and w.isalpha() and 4 <= len(w) <= 9]
     words = "request buffer session handler index stream manager config update parent value client".split()
 
     def make(kind):
@@ -196,12 +197,14 @@ def planted(documents, seed=5):
             return draw(string.ascii_uppercase + string.digits, r.randint(20, 32))
         if kind == "identifier":
             return "".join(w.capitalize() for w in r.sample(words, 4)) + str(r.randint(1, 99))
+        if kind == "foreign":  # an identifier of words no dictionary holds
+            return "".join(w.capitalize() for w in r.sample(unknown, 4)) + str(r.randint(1, 99))
         if kind == "path":
             return "/".join(r.sample(words, 4)) + f"/v{r.randint(1, 9)}"
         return draw(string.ascii_letters + string.digits, 28)  # repeated: said before in the text
 
     out = []
-    for kind in ("base62", "base64url", "upper", "identifier", "path", "repeated"):
+    for kind in ("base62", "base64url", "upper", "identifier", "path", "repeated", "foreign"):
         while len([1 for x in out if x[0] == kind]) < 200:
             s, text = make(kind), r.choice(texts)
             if not any(c.isdigit() for c in s) or not any(c.isalpha() for c in s):
@@ -214,8 +217,9 @@ def planted(documents, seed=5):
 
 
 def test_planted_secrets_are_found_and_others_left(documents):
+    """NOVELTY was chosen on the strings of seed 5; these are others."""
     hits, all_of = Counter(), Counter()
-    for kind, text, s in planted(documents):
+    for kind, text, s in planted(documents, seed=11):
         spans = secrets.novel_spans(text, secrets.base_spans(text))
         all_of[kind] += 1
         hits[kind] += any(s in text[a:b] for a, b, _ in spans)
@@ -223,3 +227,4 @@ def test_planted_secrets_are_found_and_others_left(documents):
     print(share)
     assert min(share[k] for k in ("base62", "base64url", "upper")) >= 0.95, share
     assert max(share[k] for k in ("identifier", "path", "repeated")) <= 0.05, share
+    assert share["foreign"] <= 0.15, share
