@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -47,6 +48,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return stage(df, label)[0]
 
 
+def give_back() -> None:
+    """Return to the system what the tasks before this one left free in a Python worker.
+
+    Spark keeps its workers between tasks, and the allocators keep what was freed: some 150 MB
+    of a worker that has scored, hashed and encoded texts, while others of the executor need it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], text_column: str = "text") -> Iterator[tuple[list, ...]]:
     """Column lists of slices whose texts hold about SLICE_CHARS characters together."""
     for batch in batches:
@@ -70,6 +83,7 @@ def map_rows(df: DataFrame, make: Callable, schema: str | StructType, text_colum
     arrow = to_arrow_schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema))
 
     def run(batches):
+        give_back()
         for columns in rows_of(batches, text_column):
             out = make(*columns)
             yield pa.RecordBatch.from_arrays(
@@ -129,6 +143,7 @@ def keep_rows(df: DataFrame, decide: Callable, text_column: str = "text") -> Dat
     place = df.columns.index(text_column)
 
     def run(batches):
+        give_back()
         for batch in batches:
             texts = batch.column(place)
             keep = []

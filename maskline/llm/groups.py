@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskline.llm.common import ship, staged
+from maskline.llm.common import give_back, ship, staged
+from maskline.sources.staging import stage
+
+# About as many links as one task unites. It bounds a task's memory (20 MB for so many separate ones); more take more tasks.
+TASK_LINKS = 100_000
 
 
-def _contract(batches):
-    """Replace the links of one task by a link from every node to its group's least node."""
+def _contract(batches, heads: bool = False):
+    """Replace the links of one task by a link from every node to its group's least node; with `heads` from that one too."""
+    give_back()
     parent: dict = {}
 
     def root(x):
@@ -28,7 +35,7 @@ def _contract(batches):
             if a != b:
                 parent[max(a, b)] = min(a, b)
     if parent:
-        nodes = [x for x in parent if root(x) != x]
+        nodes = [x for x in parent if heads or root(x) != x]
         for i in range(0, len(nodes), 10_000):
             part = nodes[i : i + 10_000]
             yield pa.RecordBatch.from_arrays(
@@ -40,14 +47,20 @@ def _contract(batches):
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of `links` (columns a, b); label is the group's least node.
 
-    Links inside a task are united there; what is left crosses tasks and is settled
-    by passing the least label along links and jumping from label to label. The
-    number of rounds grows with the logarithm of a chain's length. Self links are
-    allowed; empty input gives an empty result. Nothing is collected.
+    Links inside a task are united there, TASK_LINKS in each. Where that is one task, it has
+    settled them all. What else crosses tasks is settled by passing the least label along
+    links and jumping from label to label: the number of rounds grows with the logarithm of a
+    chain's length, and each is several shuffles, so few links do not go that way. Self links
+    are allowed; empty input gives an empty result. Nothing is collected.
     """
     ship(links.sparkSession)
     schema = links.select("a", "b").schema
-    edges = staged(links.select("a", "b").where("a <> b").mapInArrow(_contract, schema).distinct(), "links")
+    edges, n = stage(links.select("a", "b").where("a <> b"), "links")
+    parts = max(1, math.ceil(n / TASK_LINKS))
+    packed = edges.coalesce(parts)
+    if parts == 1:
+        return staged(packed.mapInArrow(lambda batches: _contract(batches, heads=True), schema), "labels").toDF("node", "label")
+    edges = staged(packed.mapInArrow(_contract, schema).distinct(), "links")
     both = edges.union(edges.select("b", "a"))
     labels = staged(
         both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")),

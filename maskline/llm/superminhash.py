@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from maskline.llm.common import WordHashes, map_rows, mixed, shingle_hashes, staged, with_row_key, words_of
+from maskline.llm.common import WordHashes, give_back, map_rows, mixed, shingle_hashes, staged, with_row_key, words_of
 from maskline.llm.groups import components
 
 BANDS, ROWS = 30, 5
@@ -144,6 +144,7 @@ def _block_links(num: int, den: int):
         return [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y])) for x, y in uniting(linked_pairs(sets, groups, num, den), groups)]
 
     def run(batches):
+        give_back()
         schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
         group, members = None, {}
         for batch in batches:
